@@ -60,7 +60,7 @@ def malformed_xml(sources: DataFrame) -> DataFrame:
 
 def parse_xml_records(records: DataFrame) -> DataFrame:
     """The same shape from single-transaction records of very large files."""
-    parsed = F.from_xml(F.col("transaction_xml"), TRANSACTION, XML_OPTIONS)
+    parsed = F.from_xml(F.col("transaction_xml"), f"struct<{TRANSACTION}>", XML_OPTIONS)
     usable = records.filter(~F.col("crosses_comment"))
     # the generator keeps the parse from being repeated for every extracted field
     return usable.select(*LINEAGE, "transaction_index", F.explode(F.array(parsed)).alias("transaction"))

@@ -181,6 +181,40 @@ class Landing:
         docs = self.documents_c.drop("doc").withColumn("record_hash", hash_document(F.col("raw_json_content")))
         return stamp(docs, BATCH, AS_OF, "ClientC", "JSON")
 
+    def xml_files(self) -> str:
+        """Write all client-A transactions as XML documents of at most 256 transactions; returns the folder."""
+        path = f"{fresh_path(self.spark, 'landing-xml')}/ClientA_Transactions"
+        c = F.col
+        priced = F.struct(c("unit_price_text").alias("_VALUE"), c("currency_text").alias("_currency"))
+        item = F.struct(
+            c("sku_text").alias("SKU"), c("description_text").alias("Description"), c("quantity_text").alias("Quantity"),
+            priced.alias("UnitPrice"),
+        )
+        items = self.rows(truth.ITEM_TEXT).filter("o % 2 = 0").select("o", F.struct("line", item.alias("item")).alias("i"))
+        baskets = items.groupBy("o").agg(F.transform(F.array_sort(F.collect_list("i")), lambda i: i["item"]).alias("Item"))
+        customer = F.struct(c("customer_id_raw").alias("CustomerID"), c("email_raw").alias("Email"))
+        amount = F.struct(c("payment_amount_raw").alias("_VALUE"), c("payment_currency_raw").alias("_currency"))
+        rows = self.rows(truth.HEADERS_A).join(baskets, "o", "left").select(
+            c("transaction_id_raw").alias("TransactionID"),
+            F.struct(c("order_id_raw").alias("OrderID"), c("order_date_raw").alias("OrderDate"), customer.alias("Customer")).alias("Order"),
+            F.struct("Item").alias("Items"),
+            F.struct(c("payment_method_raw").alias("Method"), amount.alias("Amount")).alias("Payment"),
+        )
+        rows.write.option("rowTag", "Transaction").option("rootTag", 'SalesData client="ClientA"').option("maxRecordsPerFile", 256).xml(path)
+        return path
+
+    def json_files(self) -> str:
+        """Write all client-C transactions as JSON documents, one per file; returns the folder."""
+        path = fresh_path(self.spark, "landing-json")
+        docs = self.documents_c.select(F.from_json(
+            F.when(F.col("doc") % 2 == 0, F.col("raw_json_content")).otherwise(
+                F.concat(F.lit('{"transactions":'), "raw_json_content", F.lit("}"))),
+            "transactions array<struct<transaction_id:string,txn_id:string,order:struct<order_id:string,order_date:string,status:string,"
+            "customer:struct<customer_id:string,id:string,email:string>>>>",
+        ).alias("d"))
+        docs.select("d.*").write.option("maxRecordsPerFile", 1).json(path)
+        return path
+
     def document_files(self, docs: DataFrame, content: str, name: str) -> str:
         """Write one file per document (one text row each) and return the folder."""
         path = fresh_path(self.spark, f"landing-{name}")
