@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-# 16**4 key ranges: about a million rows each at 10**11 rows, and the table of
-# range sizes never exceeds 65,536 rows.
-DIGEST_DIGITS = 4
+from ..session import fresh_path
 
 
 def keep_first(df: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -19,31 +17,40 @@ def keep_first(df: DataFrame, key: list[str], order: list) -> DataFrame:
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def max_key(table: DataFrame, column: str) -> Column:
-    """The largest key handed out so far (0 for none), as a scalar subquery."""
-    return table.agg(F.greatest(F.coalesce(F.max(column), F.lit(0)), F.lit(0)).cast("bigint").alias("m")).scalar()
+def max_key(table: DataFrame, column: str) -> int:
+    """The largest key handed out so far, 0 for none."""
+    return max(table.agg(F.max(column)).first()[0] or 0, 0)
 
 
-def assign_surrogate_keys(df: DataFrame, name: str, key: list[str], start: Column | int = 0) -> DataFrame:
+def assign_surrogate_keys(df: DataFrame, name: str, key: list[str], start: int = 0) -> DataFrame:
     """Dense ids ``start+1 … start+n`` in the order of the key's MD5 digest.
 
-    Digests spread evenly, so their leading digits cut the rows into ranges of
-    like size without sampling or a global sort: an id is the number of rows in
-    earlier ranges plus the rank inside its own. The outcome depends on the
-    keys only, not on partitioning, and is the same when a task is repeated.
+    Digests spread evenly, so the leading digits place each row in one of n
+    ordered partitions of like size, without sampling. The partitions are
+    sorted and written, one file each; an id is then the number of rows in
+    earlier files plus the row's position in its own. This takes one shuffle
+    and computes ``df`` once. The ids depend on the keys only, and stay the
+    same when a task is repeated or the result is read again.
     """
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, name)
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]))
-    ranged = df.withColumn("_digest", digest).withColumn("_range", F.substring("_digest", 1, DIGEST_DIGITS))
-    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    # the first 32 bits of the digest, scaled to the number of partitions
+    slot = F.shiftright(F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint") * partitions, 32).cast("int")
+    placed = df.withColumn("_digest", digest).repartitionById(partitions, slot).sortWithinPartitions("_digest", *key)
+    placed = placed.withColumn("_digest", F.substring("_digest", 1, 8))
+    placed.write.parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
-    rank = F.row_number().over(W.partitionBy("_range").orderBy("_digest", *key))
-    start = F.lit(start) if isinstance(start, int) else start
-    return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(name, (start + F.col("_offset") + rank).cast("bigint"))
-        .drop("_digest", "_range", "_offset")
+    before = W.orderBy("_first").rowsBetween(W.unboundedPreceding, -1)
+    per_file = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"), F.min("_digest").alias("_first"))
+    offsets = per_file.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    # at most one line per partition
+    numbered = rows.join(F.broadcast(offsets), "_file")
+    return numbered.withColumn(name, F.col("_offset") + F.col("_row") + F.lit(start + 1)).drop(
+        "_digest", "_file", "_row", "_offset"
     )
 
 

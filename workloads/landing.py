@@ -38,28 +38,30 @@ class Landing:
 
     # ---- CSV rows ----
 
-    def _csv(self, sql: str, entity: formats.CsvEntity, as_of: str = AS_OF, batch: str = BATCH) -> DataFrame:
-        return stamp(csv_files.hash_columns(self.rows(sql), entity), batch, as_of)
+    def _csv(self, name: str, sql: str, entity: formats.CsvEntity, as_of: str = AS_OF, batch: str = BATCH) -> DataFrame:
+        """A raw CSV table at rest, in several files."""
+        rows = stamp(csv_files.hash_columns(self.rows(sql), entity), batch, as_of)
+        return materialize(rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions"))), name)
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
-        return self._csv(truth.CUSTOMERS, formats.CUSTOMERS)
+        return self._csv("raw-customers", truth.CUSTOMERS, formats.CUSTOMERS)
 
-    @property
+    @cached_property
     def customers_day_2(self) -> DataFrame:
-        return self._csv(truth.CUSTOMERS_DAY_2, formats.CUSTOMERS, truth.AS_OF_2, "BATCH_2")
+        return self._csv("raw-customers-2", truth.CUSTOMERS_DAY_2, formats.CUSTOMERS, truth.AS_OF_2, "BATCH_2")
 
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
-        return self._csv(truth.ORDERS, formats.ORDERS)
+        return self._csv("raw-orders", truth.ORDERS, formats.ORDERS)
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
-        return self._csv(truth.PRODUCTS, formats.PRODUCTS)
+        return self._csv("raw-products", truth.PRODUCTS, formats.PRODUCTS)
 
-    @property
+    @cached_property
     def payments(self) -> DataFrame:
-        return self._csv(truth.PAYMENTS, formats.PAYMENTS)
+        return self._csv("raw-payments", truth.PAYMENTS, formats.PAYMENTS)
 
     def csv_files(self, sql: str, entity: formats.CsvEntity, name: str) -> str:
         """Write landing rows as CSV part files in a folder and return its path."""
