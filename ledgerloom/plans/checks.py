@@ -7,6 +7,7 @@ import time
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import quality
+from ..session import run_together
 from .loading import FACT_TRANSACTION, _now, read_fact
 from .staging import CLIENT_A, CLIENT_A_ITEMS, CLIENT_C, CLIENT_C_ITEMS, TRANSACTIONS
 from .store import TableStore
@@ -31,7 +32,10 @@ def run_all_dq_checks(
         done.append((name, result, _now()))
 
     found = quality.detect_duplicate_transactions(a, c, batch_id, as_of)
-    store.replace_batches(TRACKER, found, [batch_id])
+    rejects = quality.quarantine_rejects(staged[TRANSACTIONS], batch_id, as_of, malformed)
+    run_together(
+        lambda: store.replace_batches(TRACKER, found, [batch_id]), lambda: store.replace_batches(REJECTS, rejects, [batch_id])
+    )
     tracker = _of_batch(store, TRACKER, batch_id, found)
     note("Duplicate Detection", f"Duplicate detection completed. Found {tracker.count()} duplicate groups.")
 
@@ -54,7 +58,6 @@ def run_all_dq_checks(
     note("ClientC Issues", f"ClientC DQ issues logged: {counts['c']} issues")
     note("Amount Mismatches", f"Amount mismatch detection completed. Found {counts['m']} mismatches.")
 
-    store.replace_batches(REJECTS, quality.quarantine_rejects(staged[TRANSACTIONS], batch_id, as_of, malformed), [batch_id])
     elapsed = int((time.monotonic() - started) * 1000)
     store.replace_batches(METRICS, quality.calculate_dq_metrics(a, c, fact, issues, tracker, batch_id, as_of, elapsed), [batch_id])
     note("Metrics Calculation", f"DQ metrics calculated for batch {batch_id}")

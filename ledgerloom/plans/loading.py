@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import dims, facts, seeds
 from ..operators.dates import FIRST_DAY, LAST_DAY, build_dim_date
+from ..session import run_together
 from .staging import CLIENT_A, CLIENT_A_ITEMS, CLIENT_C, CLIENT_C_ITEMS
 from .store import TableStore
 
@@ -37,9 +39,9 @@ def create_dimensions(store: TableStore, as_of: str, first_day: str = FIRST_DAY,
         DIM_STATUS: lambda: seeds.seed_dim_order_status(spark).coalesce(1),
         DIM_CURRENCY: lambda: seeds.seed_dim_currency(spark).coalesce(1),
     }
-    for name, make in makers.items():
-        if not store.exists(name):
-            store.overwrite(name, make())
+    missing = [partial(store.overwrite, name, make()) for name, make in makers.items() if not store.exists(name)]
+    if missing:
+        run_together(*missing)
 
 
 def read_fact(store: TableStore, name: str) -> DataFrame:
@@ -86,10 +88,9 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
     spark = store.spark
     create_dimensions(store, as_of)
     a, c, items_a, items_c = (staged[n] for n in (CLIENT_A, CLIENT_C, CLIENT_A_ITEMS, CLIENT_C_ITEMS))
-    steps: list[Step] = []
 
-    def run(name: str, work: Callable[[], str]) -> None:
-        steps.append(Step(name, work(), _now()))
+    def step(name: str, work: Callable[[], str]) -> Step:
+        return Step(name, work(), _now())
 
     def customers() -> str:
         store.overwrite(DIM_CUSTOMER, dims.load_dim_customer(store.read(DIM_CUSTOMER), staged["staging.stg_customers"], a, c, as_of))
@@ -99,8 +100,7 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
         store.overwrite(DIM_PRODUCT, dims.load_dim_product(store.read(DIM_PRODUCT), staged["staging.stg_products"], items_a, items_c, as_of))
         return "Completed"
 
-    run("dim_customer", customers)
-    run("dim_product", products)
+    steps = run_together(lambda: step("dim_customer", customers), lambda: step("dim_product", products))
     dim_customer, dim_product, dim_date = store.read(DIM_CUSTOMER), store.read(DIM_PRODUCT), store.read(DIM_DATE)
     methods, statuses = store.read(DIM_METHOD), store.read(DIM_STATUS)
 
@@ -108,18 +108,12 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
         new = load(rows, dim_customer, dim_date, methods, read_fact(store, FACT_TRANSACTION), as_of)
         return f"{client} transactions loaded: {store.append(FACT_TRANSACTION, new)} rows"
 
-    run("fact_transaction_client_a", lambda: transactions(facts.load_fact_transaction_client_a, a, "ClientA"))
-    run("fact_transaction_client_c", lambda: transactions(facts.load_fact_transaction_client_c, c, "ClientC"))
-
     def lines() -> str:
         new = facts.load_fact_transaction_item(
             items_a, items_c, read_fact(store, FACT_TRANSACTION), dim_product, read_fact(store, FACT_ITEM), as_of
         )
         return f"Transaction items loaded: {store.append(FACT_ITEM, new)} rows"
 
-    run("fact_transaction_item", lines)
-    run("transaction_aggregates", lambda: f"Transaction aggregates updated: {refresh_transaction_aggregates(store, as_of)} rows")
-
     def orders() -> str:
         new = facts.load_fact_order(staged["staging.stg_orders"], dim_customer, dim_date, statuses, read_fact(store, FACT_ORDER), as_of)
         return f"Orders loaded: {store.append(FACT_ORDER, new)} rows"
@@ -128,8 +122,18 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
         new = facts.load_fact_payment(staged["staging.stg_payments"], dim_date, methods, read_fact(store, FACT_PAYMENT), as_of)
         return f"Payments loaded: {store.append(FACT_PAYMENT, new)} rows"
 
-    run("fact_order", orders)
-    run("fact_payment", payments)
+    def transaction_chain() -> list[Step]:
+        return [
+            step("fact_transaction_client_a", lambda: transactions(facts.load_fact_transaction_client_a, a, "ClientA")),
+            step("fact_transaction_client_c", lambda: transactions(facts.load_fact_transaction_client_c, c, "ClientC")),
+            step("fact_transaction_item", lines),
+            step("transaction_aggregates", lambda: f"Transaction aggregates updated: {refresh_transaction_aggregates(store, as_of)} rows"),
+        ]
+
+    chain, of_orders, of_payments = run_together(
+        transaction_chain, lambda: step("fact_order", orders), lambda: step("fact_payment", payments)
+    )
+    steps += [*chain, of_orders, of_payments]
     return spark.createDataFrame([(s.name, s.result, s.completed_at) for s in steps], "step string, result string, completed_at string").withColumn(
         "completed_at", F.col("completed_at").cast("timestamp")
     )

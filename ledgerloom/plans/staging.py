@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 
 from ..operators import staging_csv, staging_json, staging_xml, unify
+from ..session import run_together
 from .store import TableStore
 
 CLIENT_A, CLIENT_A_ITEMS = "staging.stg_client_a_transactions", "staging.stg_client_a_transaction_items"
@@ -27,18 +30,27 @@ def materialize_staging(store: TableStore, raw: dict[str, DataFrame]) -> dict[st
     tables, which carry the item lists. ``raw`` has xml, txt, json, customers,
     orders, products and payments.
     """
-    out = {}
-    sources = staging_xml.union_xml_sources(raw["xml"], raw["txt"])
-    flat = staging_xml.flatten_xml_transactions(sources)
+    flat = staging_xml.flatten_xml_transactions(staging_xml.union_xml_sources(raw["xml"], raw["txt"]))
     if "xml_records" in raw:
         flat = flat.unionByName(staging_xml.parse_xml_records(raw["xml_records"]))
-    a = store.overwrite(CLIENT_A, staging_xml.stage_flat_client_a(flat))
-    c = store.overwrite(CLIENT_C, staging_json.stage_client_c_transactions(raw["json"]))
-    out[CLIENT_A], out[CLIENT_C] = a, c
-    out[CLIENT_A_ITEMS] = store.overwrite(CLIENT_A_ITEMS, staging_xml.stage_client_a_items(a))
-    out[CLIENT_C_ITEMS] = store.overwrite(CLIENT_C_ITEMS, staging_json.stage_client_c_items(c))
-    out[TRANSACTIONS] = store.overwrite(TRANSACTIONS, unify.unify_transactions(a, c))
-    out[ITEMS] = store.overwrite(ITEMS, unify.unify_transaction_items(out[CLIENT_A_ITEMS], out[CLIENT_C_ITEMS]))
-    for source, (name, stage) in CSV_TABLES.items():
-        out[name] = store.overwrite(name, stage(raw[source]))
+
+    def client_a() -> dict[str, DataFrame]:
+        headers = store.overwrite(CLIENT_A, staging_xml.stage_flat_client_a(flat))
+        return {CLIENT_A: headers, CLIENT_A_ITEMS: store.overwrite(CLIENT_A_ITEMS, staging_xml.stage_client_a_items(headers))}
+
+    def client_c() -> dict[str, DataFrame]:
+        headers = store.overwrite(CLIENT_C, staging_json.stage_client_c_transactions(raw["json"]))
+        return {CLIENT_C: headers, CLIENT_C_ITEMS: store.overwrite(CLIENT_C_ITEMS, staging_json.stage_client_c_items(headers))}
+
+    def reference(source: str, name: str, stage) -> dict[str, DataFrame]:
+        return {name: store.overwrite(name, stage(raw[source]))}
+
+    files = [partial(reference, source, name, stage) for source, (name, stage) in CSV_TABLES.items()]
+    out: dict[str, DataFrame] = {}
+    for part in run_together(client_a, client_c, *files):
+        out.update(part)
+    out[TRANSACTIONS], out[ITEMS] = run_together(
+        lambda: store.overwrite(TRANSACTIONS, unify.unify_transactions(out[CLIENT_A], out[CLIENT_C])),
+        lambda: store.overwrite(ITEMS, unify.unify_transaction_items(out[CLIENT_A_ITEMS], out[CLIENT_C_ITEMS])),
+    )
     return out

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -84,3 +86,12 @@ def materialize(df, label: str):
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(*jobs: Callable):
+    """Submit independent Spark jobs at the same time and return their results in order.
+
+    The cluster stays busy while one of them plans, lists files or finishes its last tasks.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]

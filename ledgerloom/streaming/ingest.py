@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.files import matches_pattern, with_file_metadata
 
@@ -40,10 +41,10 @@ def large_file_stream(spark: SparkSession, path: str, min_bytes: int, glob: str
     )
 
 
-def incremental_file_ingest(
+def start_file_ingest(
     stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], pattern: str | None = None
-) -> int:
-    """Process the files not seen before and stop; returns the number of rows read.
+) -> StreamingQuery:
+    """Start processing the files not seen before; the query ends when they are done.
 
     The checkpoint remembers loaded files. ``write`` gets each step with its
     number, which stays the same if the step is repeated after a failure; a
@@ -51,11 +52,13 @@ def incremental_file_ingest(
     """
     if pattern:
         stream = stream.filter(matches_pattern(F.col("source_file_path"), pattern))
-    query = (
-        stream.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def incremental_file_ingest(
+    stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], pattern: str | None = None
+) -> int:
+    """Process the files not seen before and return the number of rows read."""
+    query = start_file_ingest(stream, checkpoint, write, pattern)
     query.awaitTermination()
     return sum(int(p["numInputRows"]) for p in query.recentProgress)
