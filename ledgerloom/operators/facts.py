@@ -50,6 +50,11 @@ FACT_PAYMENT = [
 ]
 
 
+def _keyed(rows: DataFrame, sk: str, key: list[str], start: int, columns: list[str]) -> DataFrame:
+    """Fact rows with their surrogate key; only the columns of the fact are carried through the shuffle."""
+    return assign_surrogate_keys(rows.select(*[c for c in columns if c != sk]), sk, key, start).select(*columns)
+
+
 def _load_fact_transaction(staged, dim_customer, dim_date, dim_payment_method, existing, as_of, client, counted, members, start):
     columns = [
         "transaction_id", "order_id", "customer_id", "order_date", "payment_method", "payment_amount",
@@ -77,8 +82,7 @@ def _load_fact_transaction(staged, dim_customer, dim_date, dim_payment_method, e
         "created_at": F.lit(as_of).cast("timestamp"),
     })
     start = max_key(existing, "transaction_sk") if start is None else start
-    rows = assign_surrogate_keys(rows, "transaction_sk", ["source_client", "transaction_id"], start)
-    return rows.select(*FACT_TRANSACTION)
+    return _keyed(rows, "transaction_sk", ["source_client", "transaction_id"], start, FACT_TRANSACTION)
 
 
 def load_fact_transaction_client_a(staged, dim_customer, dim_date, dim_payment_method, existing, as_of, start=None) -> DataFrame:
@@ -122,7 +126,7 @@ def load_fact_transaction_item(items_a, items_c, fact_transaction, dim_product,
         "created_at": F.lit(as_of).cast("timestamp"),
     })
     start = max_key(existing, "transaction_item_sk") if start is None else start
-    return assign_surrogate_keys(rows, "transaction_item_sk", key, start).select(*FACT_ITEM)
+    return _keyed(rows, "transaction_item_sk", key, start, FACT_ITEM)
 
 
 def aggregate_items_per_transaction(items: DataFrame) -> DataFrame:
@@ -157,7 +161,11 @@ def update_transaction_aggregates(fact_transaction: DataFrame, items: DataFrame)
 
 
 def load_fact_order(staged, dim_customer, dim_date, dim_order_status, existing, as_of, start=None) -> DataFrame:
-    rows = staged.filter("order_id IS NOT NULL AND NOT is_missing_order_id")
+    rows = staged.filter("order_id IS NOT NULL AND NOT is_missing_order_id").select(
+        "order_id", "customer_id", "order_date", "total_amount", "currency", "status", "is_missing_order_id",
+        "is_missing_customer_id", "is_invalid_order_date", "is_negative_amount", "record_hash", "batch_id", *FIRST_SEEN,
+        "file_row_number",
+    )
     rows = keep_first(rows, ["order_id"], [*FIRST_SEEN, "file_row_number"])
     rows = lk.anti_join_existing(rows, existing, ["order_id"])
     rows = lk.join_dim_customer_current(rows, dim_customer, ["order_id"])
@@ -171,11 +179,14 @@ def load_fact_order(staged, dim_customer, dim_date, dim_order_status, existing,
         "created_at": F.lit(as_of).cast("timestamp"),
     })
     start = max_key(existing, "order_sk") if start is None else start
-    return assign_surrogate_keys(rows, "order_sk", ["order_id"], start).select(*FACT_ORDER)
+    return _keyed(rows, "order_sk", ["order_id"], start, FACT_ORDER)
 
 
 def load_fact_payment(staged, dim_date, dim_payment_method, existing, as_of, start=None) -> DataFrame:
-    rows = staged.filter("payment_id IS NOT NULL AND NOT is_missing_payment_id")
+    rows = staged.filter("payment_id IS NOT NULL AND NOT is_missing_payment_id").select(
+        "payment_id", "order_id", "transaction_id", "payment_method", "amount", "currency", "status", "payment_date",
+        "is_missing_payment_id", "is_negative_amount", "batch_id", *FIRST_SEEN, "file_row_number",
+    )
     rows = keep_first(rows, ["payment_id"], [*FIRST_SEEN, "file_row_number"])
     rows = lk.anti_join_existing(rows, existing, ["payment_id"])
     rows = lk.join_dim_payment_method(rows, dim_payment_method)
@@ -187,7 +198,7 @@ def load_fact_payment(staged, dim_date, dim_payment_method, existing, as_of, sta
         "created_at": F.lit(as_of).cast("timestamp"),
     })
     start = max_key(existing, "payment_sk") if start is None else start
-    return assign_surrogate_keys(rows, "payment_sk", ["payment_id"], start).select(*FACT_PAYMENT)
+    return _keyed(rows, "payment_sk", ["payment_id"], start, FACT_PAYMENT)
 
 
 _TYPES = {

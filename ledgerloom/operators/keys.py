@@ -64,6 +64,12 @@ def check_unique(table: DataFrame, key: list[str]) -> DataFrame:
 
 
 def check_referential(table: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows whose key has no parent, or refers to the unknown member."""
-    known = parent.filter(F.col(parent_key) != -1).select(F.col(parent_key).alias(foreign_key))
-    return table.join(known, foreign_key, "left_anti")
+    """Rows whose key has no parent, or refers to the unknown member.
+
+    Rows of the unknown member are many and known beforehand, so they take no part in the join.
+    """
+    key = F.col(foreign_key)
+    unknown = table.filter(key.isNull() | (key == -1))
+    parents = parent.select(F.col(parent_key).alias(foreign_key))
+    dangling = table.filter(key != -1).join(parents, foreign_key, "left_anti")
+    return unknown.unionByName(dangling.select(*table.columns))

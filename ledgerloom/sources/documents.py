@@ -8,8 +8,9 @@ from . import formats as f
 from .files import matches_pattern, number_file_rows, stamp, with_file_metadata, with_record_ids
 
 # A document above this size is not held in one row: XML goes through
-# ``read_xml_records``, JSON is reported by ``oversize_documents``.
-MAX_DOCUMENT_BYTES = 128 * 1024 * 1024
+# ``read_xml_records``, JSON is reported by ``oversize_documents``. A parsed
+# document takes several times its size in the memory of one task.
+MAX_DOCUMENT_BYTES = 16 * 1024 * 1024
 
 
 def hash_document(content: Column) -> Column:
@@ -120,9 +121,7 @@ def parse_txt_xml(docs: DataFrame) -> DataFrame:
 RECORD_END = "</Transaction>"
 
 
-def split_xml_records(
-    pieces: DataFrame, batch_id: str, as_of: str, *, client: str = "ClientA", source_format: str = "XML", start_id: int = 0
-) -> DataFrame:
+def split_xml_records(pieces: DataFrame, batch_id: str, as_of: str, *, client: str = "ClientA", start_id: int = 0) -> DataFrame:
     """Transactions from text pieces that each end where a ``</Transaction>`` was.
 
     ``crosses_comment`` marks a record whose comment runs over a record end;
@@ -139,11 +138,13 @@ def split_xml_records(
     numbered = with_record_ids(number_file_rows(records), start_id)
     numbered = numbered.withColumn("transaction_index", (F.col("file_row_number") - 1).cast("int"))
     numbered = numbered.withColumn("file_hash", hash_document(F.col("transaction_xml")))
-    return stamp(numbered.drop("_block_start", "file_row_number"), batch_id, as_of, client, source_format)
+    from_text = F.lower("source_file_path").endswith(".txt")
+    numbered = numbered.withColumn("source_format", F.when(from_text, "XML_FROM_TXT").otherwise("XML"))
+    return stamp(numbered.drop("_block_start", "file_row_number"), batch_id, as_of, client)
 
 
 def read_xml_records(
-    spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientA", source_format: str = "XML",
+    spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientA",
     pattern: str | None = None, start_id: int = 0, min_bytes: int = MAX_DOCUMENT_BYTES,
 ) -> DataFrame:
     """One row per ``<Transaction>`` of the files above ``min_bytes``.
@@ -155,4 +156,4 @@ def read_xml_records(
     pieces = with_file_metadata(pieces).filter(F.col("file_size_bytes") > min_bytes)
     if pattern:
         pieces = pieces.filter(matches_pattern(F.col("source_file_path"), pattern))
-    return split_xml_records(pieces, batch_id, as_of, client=client, source_format=source_format, start_id=start_id)
+    return split_xml_records(pieces, batch_id, as_of, client=client, start_id=start_id)

@@ -60,10 +60,7 @@ _XML_FIELDS = "transaction_id_raw, order_id_raw, order_date_raw, customer_id_raw
 @query("read_xml_documents", f"SELECT {_XML_FIELDS.replace('payment_amount_raw', 'nullif(payment_amount_raw, ' + chr(39) * 2 + ') AS payment_amount_raw')}, "
        "(SELECT count(*) FROM raw_lines l WHERE l.o = landed_a.o) AS item_count FROM landed_a")
 def read_xml_documents(w):
-    path = w.inputs.xml_files()
-    docs = documents.read_xml_documents(w.spark, path, BATCH, AS_OF)
-    none = documents.parse_txt_xml(w.inputs.txt_docs.limit(0))
-    flat = staging_xml.extract_xml_fields(staging_xml.flatten_xml_transactions(staging_xml.union_xml_sources(docs, none)))
+    flat = staging_xml.extract_xml_fields(staging_xml.read_xml_transactions(w.spark, w.inputs.xml_files(), BATCH, AS_OF))
     counted = flat.withColumn("item_count", F.coalesce(F.size("items"), F.lit(0)))
     return pick(counted, f"{_XML_FIELDS}, item_count")
 
@@ -79,9 +76,8 @@ def read_xml_records(w):
 @query("read_txt_documents", "SELECT transaction_id_raw, order_id_raw, transaction_index FROM landed_a WHERE is_txt = 1 AND is_broken = 0")
 def read_txt_documents(w):
     path = w.inputs.document_files(w.inputs.txt_docs, "raw_text_content", "txt")
-    docs = documents.parse_txt_xml(documents.read_txt_documents(w.spark, path, BATCH, AS_OF))
-    sources = staging_xml.union_xml_sources(w.inputs.xml_docs.limit(0), docs)
-    return pick(staging_xml.extract_xml_fields(staging_xml.flatten_xml_transactions(sources)), "transaction_id_raw, order_id_raw, transaction_index")
+    flat = staging_xml.read_xml_transactions(w.spark, path, BATCH, AS_OF)
+    return pick(staging_xml.extract_xml_fields(flat), "transaction_id_raw, order_id_raw, transaction_index")
 
 
 @query("parse_txt_xml", "SELECT DISTINCT source_file_name, is_broken = 0 AS xml_parse_success, "
@@ -90,11 +86,19 @@ def parse_txt_xml(w):
     return w.inputs.parsed_txt_docs.select("source_file_name", "xml_parse_success", "xml_parse_error")
 
 
-@query("read_json_documents", "SELECT transaction_id_raw, transaction_id_alt_raw, order_id_raw, customer_id_alt_raw FROM raw_headers_c")
+_JSON_FIELDS = "transaction_id_raw, transaction_id_alt_raw, order_id_raw, customer_id_alt_raw"
+
+
+@same("read_json_documents", _JSON_FIELDS, "raw_headers_c")
 def read_json_documents(w):
-    docs = documents.read_json_documents(w.spark, w.inputs.json_files(), BATCH, AS_OF)
-    flat = staging_json.extract_json_fields(staging_json.flatten_json_transactions(docs))
-    return flat.select("transaction_id_raw", "transaction_id_alt_raw", "order_id_raw", "customer_id_alt_raw")
+    docs = documents.read_json_documents(w.spark, w.inputs.json_files(), BATCH, AS_OF, max_bytes=1 << 30)
+    return pick(staging_json.extract_json_fields(staging_json.flatten_json_transactions(docs)), _JSON_FIELDS)
+
+
+@same("read_json_lines", _JSON_FIELDS, "raw_headers_c")
+def read_json_lines(w):
+    docs = documents.read_json_documents(w.spark, w.inputs.json_files(), BATCH, AS_OF, lines=True)
+    return pick(staging_json.extract_json_fields(staging_json.flatten_json_transactions(docs)), _JSON_FIELDS)
 
 
 @query("read_json_array", "SELECT source_file_name, transaction_index AS element_index, order_id_raw AS order_id FROM raw_headers_c WHERE doc % 2 = 1")
