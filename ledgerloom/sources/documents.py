@@ -12,6 +12,9 @@ from .files import matches_pattern, number_file_rows, stamp, with_file_metadata,
 # document takes several times its size in the memory of one task.
 MAX_DOCUMENT_BYTES = 16 * 1024 * 1024
 
+# which ids each kind of raw row gets
+SERIES = {"xml": 0, "txt": 1, "json": 2, "xml_records": 3}
+
 
 def hash_document(content: Column) -> Column:
     return F.sha2(content, 256)
@@ -31,7 +34,7 @@ def read_xml_documents(
 ) -> DataFrame:
     docs = _whole_files(spark, path, pattern, max_bytes).withColumnRenamed("value", "raw_xml_content")
     docs = docs.withColumn("record_hash", hash_document(F.col("raw_xml_content")))
-    return stamp(with_record_ids(docs, start_id), batch_id, as_of, client, "XML")
+    return stamp(with_record_ids(docs, start_id, SERIES["xml"]), batch_id, as_of, client, "XML")
 
 
 def read_txt_documents(
@@ -39,7 +42,7 @@ def read_txt_documents(
     pattern: str | None = f.TXT_PATTERN, start_id: int = 0, max_bytes: int = MAX_DOCUMENT_BYTES,
 ) -> DataFrame:
     docs = _whole_files(spark, path, pattern, max_bytes).withColumnRenamed("value", "raw_text_content")
-    return stamp(with_record_ids(docs, start_id), batch_id, as_of, client, "TXT_XML")
+    return stamp(with_record_ids(docs, start_id, SERIES["txt"]), batch_id, as_of, client, "TXT_XML")
 
 
 def read_json_documents(
@@ -56,7 +59,7 @@ def read_json_documents(
         docs = _whole_files(spark, path, pattern, max_bytes)
     docs = docs.withColumnRenamed("value", "raw_json_content")
     docs = docs.withColumn("record_hash", hash_document(F.col("raw_json_content")))
-    return stamp(with_record_ids(docs, start_id), batch_id, as_of, client, "JSON")
+    return stamp(with_record_ids(docs, start_id, SERIES["json"]), batch_id, as_of, client, "JSON")
 
 
 def read_json_array(docs: DataFrame, column: str = "raw_json_content") -> DataFrame:
@@ -135,7 +138,7 @@ def split_xml_records(pieces: DataFrame, batch_id: str, as_of: str, *, client: s
         (F.instr("_text", "<!--") > 0).alias("crosses_comment"),
         "source_file_name", "source_file_path", "file_size_bytes", "_block_start",
     )
-    numbered = with_record_ids(number_file_rows(records), start_id)
+    numbered = with_record_ids(number_file_rows(records), start_id, SERIES["xml_records"])
     numbered = numbered.withColumn("transaction_index", (F.col("file_row_number") - 1).cast("int"))
     numbered = numbered.withColumn("file_hash", hash_document(F.col("transaction_xml")))
     from_text = F.lower("source_file_path").endswith(".txt")

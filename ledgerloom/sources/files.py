@@ -59,16 +59,21 @@ _TASK_SLOTS = 1 << 20  # more tasks than one scan ever has
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a task in its lower 33 bits
 
 
-def with_record_ids(df: DataFrame, start: int = 0) -> DataFrame:
-    """Unique ids above ``start``, with gaps, given without a shuffle or a second read.
+_SERIES = 16  # raw tables that number their rows side by side
 
-    Row r of task t gets ``start + 1 + r * slots + t``, so ids stay small even
-    though the number of rows per task is not known beforehand.
+
+def with_record_ids(df: DataFrame, last_id: int = 0, series: int = 0) -> DataFrame:
+    """Unique ids above ``last_id``, with gaps, given without a shuffle or a second read.
+
+    Row r of task t gets the number ``r * slots + t``, so ids stay small even
+    though the number of rows per task is not known beforehand. Tables with
+    different ``series`` never share an id.
     """
     numbered = df.withColumn("_scan_id", F.monotonically_increasing_id())
     row = F.col("_scan_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     task = F.shiftright("_scan_id", _ROW_BITS)
-    return numbered.withColumn("raw_record_id", row * _TASK_SLOTS + task + F.lit(start + 1)).drop("_scan_id")
+    number = row * _TASK_SLOTS + task + F.lit(last_id // _SERIES + 1)
+    return numbered.withColumn("raw_record_id", number * _SERIES + series).drop("_scan_id")
 
 
 def number_file_rows(df: DataFrame) -> DataFrame:
