@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from . import truth
-from .truth import AS_OF, AS_OF_2, BATCH
+from .truth import AS_OF, BATCH
 
 TABLES = {t: t for t in ("customer", "orders", "lineitem", "part", "events", "documents")}
 
@@ -266,10 +266,10 @@ def _candidates(csv):
 
 CTES["customer_candidates"] = _candidates("stg_customers")
 CTES["customer_first"] = first_rows("customer_candidates", "customer_id", "prio, source_file_name, rec, pos")
-_FULL = "coalesce(first_name, '') || ' ' || coalesce(last_name, '') AS full_name, split_part(email, '@', 2) AS email_domain"
-_FULL_NULL = _FULL.replace("split_part(email, '@', 2)", "CASE WHEN email IS NOT NULL THEN split_part(email, '@', 2) END")
+_FULL = ("coalesce(first_name, '') || ' ' || coalesce(last_name, '') AS full_name, "
+         "CASE WHEN email IS NOT NULL THEN split_part(email, '@', 2) END AS email_domain")
 CTES["dim_customer"] = (f"SELECT {big('row_number() OVER (ORDER BY md5(customer_id), customer_id)')} AS customer_sk, "
-                        f"* EXCLUDE (prio, rec, pos), {_FULL_NULL} FROM customer_first")
+                        f"* EXCLUDE (prio, rec, pos), {_FULL} FROM customer_first")
 CTES["csv_first"] = first_rows("(SELECT * FROM customer_candidates WHERE prio = 0)", "customer_id", "source_file_name, rec, pos")
 CTES["csv_day_2"] = first_rows("(SELECT *, raw_record_id AS rec, file_row_number AS pos FROM stg_customers_2 WHERE customer_id IS NOT NULL AND NOT is_missing_customer_id)",
                                "customer_id", "source_file_name, rec, pos")
@@ -428,7 +428,6 @@ CTES["mismatches"] = f"""SELECT '{BATCH}' AS batch_id, source_client, CAST(NULL
       FROM fact WHERE total_line_amount_abs IS NOT NULL AND payment_amount_abs IS NOT NULL AND abs(payment_amount_abs - total_line_amount_abs) > 0.01
       AND abs(payment_amount_abs - total_line_amount_abs) / nullif(payment_amount_abs, 0) > 0.05"""
 CTES["issues"] = "SELECT * FROM dup_issues UNION ALL SELECT * FROM issues_a UNION ALL SELECT * FROM issues_c UNION ALL SELECT * FROM mismatches"
-_MET = "coalesce(i.miss, 0)"
 CTES["metrics"] = f"""SELECT '{BATCH}' AS batch_id, DATE '{AS_OF[:10]}' AS metric_date, s.source_client, s.n AS total_records_received,
       coalesce(c.n, 0) AS total_records_processed, coalesce(c.n, 0) AS total_records_loaded, {big('coalesce(c.rej, 0)')} AS total_records_rejected,
       {big('coalesce(c.warn, 0)')} AS total_records_warning, {big('coalesce(i.miss, 0)')} AS missing_field_count, {big('coalesce(i.fmt, 0)')} AS invalid_format_count,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom import functions as x
 from ledgerloom.operators import changes, dates, dims, facts, keys, lookups, quality, seeds, staging_csv, staging_json, staging_xml, unify
