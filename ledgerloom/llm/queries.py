@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join
+from . import grid_join, line_dedup, ngram_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,44 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their repeated runs of lines."""
+    return line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label at cosine 0.93."""
+    return grid_join.embedding_links(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op4_ngram_join": op4_ngram_join,
+    "op5_line_dedup": op5_line_dedup,
+    "op9_grid_join": op9_grid_join,
 }
 
 SQL: dict[str, str] = {}
+
+SQL["op5_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents
+), worded AS (
+    SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines
+), placed AS (
+    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY no) - words AS before FROM worded WHERE words > 0
+), windows AS (
+    SELECT doc_id, no, max(no) OVER run AS last, list(line) OVER run AS content, sum(words) OVER run AS total
+    FROM placed WINDOW run AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), later AS (
+    SELECT doc_id, no, last FROM windows WHERE total >= 50
+    QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, no) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(no, last)) AS no FROM later
+), left_over AS (
+    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.no) FILTER (g.no IS NULL) AS text, count(*) AS n_lines, count(g.no) AS n_removed
+    FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.no = g.no GROUP BY l.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, '') END AS text,
+       coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN left_over o ON d.doc_id = o.doc_id
+"""
