@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grid_join, line_dedup, ngram_join
+from . import decontaminate, grid_join, line_dedup, ngram_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test item that a document holds, over all passages of all documents."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of equal label at cosine 0.93."""
     return grid_join.embedding_links(_table(spark, sf_dir, "embeddings"))
@@ -30,6 +35,7 @@ def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_ngram_join": op4_ngram_join,
     "op5_line_dedup": op5_line_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op9_grid_join": op9_grid_join,
 }
 

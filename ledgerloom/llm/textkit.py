@@ -17,6 +17,9 @@ _TABLE = _rng.integers(0, 1 << 64, size=_ROWS * 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+# for looser comparison: all of ASCII but letters and digits separates words
+MARKS = np.ones(256, bool)
+MARKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -57,13 +60,14 @@ def buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of many texts: their bytes without white space, word offsets, and each text's range of words.
 
-    Words are runs of anything but ASCII white space (space, and 9 to 13); A to
-    Z become lower case unless told otherwise. A null text has no words.
+    Words are runs of anything but ASCII white space (space, and 9 to 13), or but
+    the bytes ``between`` marks; A to Z become lower case unless told otherwise.
+    A null text has no words.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool = True, between: np.ndarray = _SPACE):
         raw, offsets = buffers(pc.fill_null(texts.cast(pa.large_string()), ""))
-        inside = ~_SPACE[raw]
+        inside = ~between[raw]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         begins = offsets[:-1][np.diff(offsets) > 0]
