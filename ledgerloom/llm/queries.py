@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, grid_join, line_dedup, ngram_join
+from . import decontaminate, grid_join, line_dedup, mixing, ngram_join, quality
+from .common import WORD
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: words per document, targets per source, words taken."""
+    docs = _table(spark, sf_dir, "documents")
+    return mixing.mix(docs, F.regexp_count("text", F.lit(WORD)), mixing.quality_weight("text")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies"
+    )
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: runs of four words, similarity 0.85."""
     found = ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
@@ -27,15 +36,23 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of equal label at cosine 0.93."""
     return grid_join.embedding_links(_table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op4_ngram_join": op4_ngram_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
+    "op7_quality": op7_quality,
     "op9_grid_join": op9_grid_join,
 }
 
