@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, grid_join, line_dedup, mixing, ngram_join, quality
-from .common import WORD
+from . import chat, decontaminate, grid_join, line_dedup, mixing, ngram_join, quality
+from .common import WORD, Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,25 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and the digests of what is read back from the output."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = turns.union(more.select(F.col("conv_id").cast(turns.schema["conv_id"].dataType), "turn", "role", "text"))
+    chats = chat.format_chats(turns.withColumn("parts", chat.text_parts(F.col("text"))))
+    chats = Scratch(spark, "chat").save(chats, "formatted")
+    told = chat.read_back(chats).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("n", "role", "text", "loss"))).alias("turns"))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    digests = told.select(
+        F.col("conv_id").alias("c"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(whole.cast("binary"), 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+    )
+    sizes = chats.select("conv_id", F.length("formatted").cast("bigint").alias("formatted_chars"))
+    return sizes.join(digests, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: runs of four words, similarity 0.85."""
     found = ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
@@ -49,6 +68,7 @@ def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_chat": op2_chat,
     "op4_ngram_join": op4_ngram_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
@@ -58,6 +78,21 @@ QUERIES = {
 
 SQL: dict[str, str] = {}
 
+SQL["op2_chat"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       -- six code points open a turn, one ends its role, eight close it; a backslash and a < take two
+       sum(15 + length(role) + length(text) + length(text) - length(replace(replace(text, '\', ''), '<', '')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 SQL["op5_line_dedup"] = r"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents
