@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, grid_join, line_dedup, mixing, ngram_join, quality
+from . import chat, decontaminate, grid_join, line_dedup, mixing, ngram_join, quality, site_templates
 from .common import WORD, Scratch
 
 
@@ -66,6 +66,11 @@ def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.embedding_links(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return site_templates.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -74,6 +79,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_quality": op7_quality,
     "op9_grid_join": op9_grid_join,
+    "op10_site_templates": op10_site_templates,
 }
 
 SQL: dict[str, str] = {}
