@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, grid_join, line_dedup, mixing, ngram_join, quality, site_templates
+from . import chat, decontaminate, grid_join, line_dedup, mixing, ngram_join, quality, separators, site_templates
 from .common import WORD, Scratch
 
 
@@ -39,6 +39,11 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.join(digests, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
 
 
+def op3_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted by separators in flat token streams of the whole corpus."""
+    return separators.count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: runs of four words, similarity 0.85."""
     found = ngram_join.ngram_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
@@ -74,6 +79,7 @@ def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
+    "op3_separators": op3_separators,
     "op4_ngram_join": op4_ngram_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
