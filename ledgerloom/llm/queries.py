@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, grid_join, line_dedup, mixing, ngram_join, quality, separators, site_templates
+from . import chat, decontaminate, grid_join, licenses, line_dedup, mixing, ngram_join, quality, separators, site_templates
 from .common import WORD, Scratch
 
 
@@ -66,6 +66,19 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences of all documents, laid out as files below their source and language.
+
+    Documents that open with a line on a licence are licence files one directory above the others.
+    """
+    docs = _table(spark, sf_dir, "documents")
+    top = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"))
+    opens = F.regexp_extract("text", r"^[^\n]*", 0).rlike("(?i)licen[cs]e")
+    name = F.when(opens, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat_ws("/", F.floor(F.col("doc_id") / 100).cast("string"), F.concat("doc_id", F.lit(".txt"))))
+    found = licenses.scan_licenses(docs.withColumn("path", F.concat_ws("/", top, name)))
+    return found.select("path", F.array_join("licenses", " ").alias("licenses"), "origin", "distance")
+
+
 def op9_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of equal label at cosine 0.93."""
     return grid_join.embedding_links(_table(spark, sf_dir, "embeddings"))
@@ -84,6 +97,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality": op7_quality,
+    "op8_licenses": op8_licenses,
     "op9_grid_join": op9_grid_join,
     "op10_site_templates": op10_site_templates,
 }
@@ -128,3 +142,24 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(o.text, '') EN
        coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN left_over o ON d.doc_id = o.doc_id
 """
+
+SQL["op8_licenses"] = r"""
+WITH files AS (
+    SELECT doc_id, concat_ws('/', source, lang, (doc_id // 1000)::VARCHAR) AS top,
+           regexp_matches(split_part(text, chr(10), 1), 'licen[cs]e', 'i') AS opens, string_split(text, chr(10)) AS lines
+    FROM documents
+), owned AS (
+    SELECT *, CASE WHEN list_contains(lines, 'Licensed under the Apache License, Version 2.0.') THEN 'Apache-2.0'
+                   WHEN list_contains(lines, 'Released under the MIT License.') THEN 'MIT'
+                   WHEN list_contains(lines, 'This work is licensed under the GNU General Public License, version 3.') THEN 'GPL-3.0'
+                   WHEN list_contains(lines, 'Licensed under CC BY-NC 4.0.') THEN 'CC-BY-NC-4.0' END AS own,
+           CASE WHEN opens THEN top || '/LICENSE-' || doc_id ELSE top || '/' || (doc_id // 100) || '/' || doc_id || '.txt' END AS path
+    FROM files
+), declared AS (
+    SELECT top, string_agg(DISTINCT own, ' ' ORDER BY own) AS names FROM owned WHERE opens AND own IS NOT NULL GROUP BY top
+)
+SELECT path, coalesce(own, names, '') AS licenses,
+       CASE WHEN own IS NOT NULL THEN 'own' WHEN names IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN own IS NULL AND names IS NOT NULL THEN CASE WHEN opens THEN 0 ELSE 1 END END::INTEGER AS distance
+FROM owned LEFT JOIN declared USING (top)
+"""

@@ -73,6 +73,8 @@ class Words:
         begins = offsets[:-1][np.diff(offsets) > 0]
         first[begins] = inside[begins]  # a text's end also ends a word
         at = np.flatnonzero(first)
+        # places in the bytes of all texts: of words, of texts, and of line feeds
+        self.starts, self.text_starts, self.breaks = at, offsets[:-1], np.flatnonzero(raw == 10)
         self.bytes = (_LOWER[raw] if lower else raw)[inside]
         letters = np.concatenate(([0], np.cumsum(inside, dtype=np.int64)))
         self.offsets = np.concatenate((letters[at], [len(self.bytes)]))
