@@ -37,9 +37,10 @@ def detect_duplicate_keys(rows: DataFrame, key: str, label: str, resolution: str
     """Groups of rows sharing a key, with the files they occur in.
 
     Counted per key and file first: however many copies a key has, what is
-    shuffled and collected for it is one entry per file.
+    shuffled and collected for it is one entry per file. Rows whose key is missing
+    or blank share no key; they have an issue of their own.
     """
-    per_file = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("duplicate_key"), "source_file_name").agg(
+    per_file = rows.filter(F.trim(key) != "").groupBy(F.col(key).alias("duplicate_key"), "source_file_name").agg(
         F.count(F.lit(1)).alias("_n")
     )
     groups = per_file.groupBy("duplicate_key").agg(

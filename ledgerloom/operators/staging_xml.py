@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import functions as x
 from ..functions.parse import abs_integer
 from ..sources import documents
-from ..sources.formats import CORRUPT, TXT_PATTERN, XML_OPTIONS, XML_PATTERN
+from ..sources.formats import CORRUPT, XML_OPTIONS
 
 _AMOUNT = "struct<_VALUE:string,_currency:string>"
 _ITEM = (
@@ -60,23 +60,18 @@ def malformed_xml(sources: DataFrame) -> DataFrame:
 
 
 def parse_xml_records(records: DataFrame) -> DataFrame:
-    """The same shape from single-transaction records of very large files."""
+    """The same shape from single-transaction records."""
     parsed = F.from_xml(F.col("transaction_xml"), f"struct<{TRANSACTION}>", XML_OPTIONS)
     usable = records.filter(~F.col("crosses_comment"))
     # the generator keeps the parse from being repeated for every extracted field
     return usable.select(*LINEAGE, "transaction_index", F.explode(F.array(parsed)).alias("transaction"))
 
 
-def read_xml_transactions(
-    spark: SparkSession, path, batch_id: str, as_of: str, max_bytes: int = documents.MAX_DOCUMENT_BYTES
-) -> DataFrame:
-    """All transactions of the XML and text files of a folder: small files as documents, larger ones record by record."""
-    xml = documents.read_xml_documents(spark, path, batch_id, as_of, max_bytes=max_bytes)
-    txt = documents.parse_txt_xml(documents.read_txt_documents(spark, path, batch_id, as_of, max_bytes=max_bytes))
-    large = documents.read_xml_records(
-        spark, path, batch_id, as_of, pattern=f"(?:{XML_PATTERN})|(?:{TXT_PATTERN})", min_bytes=max_bytes
-    )
-    return flatten_xml_transactions(union_xml_sources(xml, txt)).unionByName(parse_xml_records(large))
+def read_xml_transactions(spark: SparkSession, path, batch_id: str, as_of: str) -> DataFrame:
+    """All transactions of the XML and text files of a folder."""
+    xml = documents.read_xml_documents(spark, path, batch_id, as_of)
+    txt = documents.parse_txt_xml(documents.read_txt_documents(spark, path, batch_id, as_of))
+    return flatten_xml_transactions(union_xml_sources(xml, txt))
 
 
 def extract_xml_fields(flat: DataFrame) -> DataFrame:

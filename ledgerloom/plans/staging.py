@@ -31,7 +31,7 @@ def materialize_staging(store: TableStore, raw: dict[str, DataFrame]) -> dict[st
     orders, products and payments.
     """
     flat = staging_xml.flatten_xml_transactions(staging_xml.union_xml_sources(raw["xml"], raw["txt"]))
-    if "xml_records" in raw:
+    if "xml_records" in raw:  # rows of ``read_xml_records``
         flat = flat.unionByName(staging_xml.parse_xml_records(raw["xml_records"]))
 
     def client_a() -> dict[str, DataFrame]:

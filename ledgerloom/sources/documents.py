@@ -1,4 +1,4 @@
-"""XML, XML-in-text and JSON documents, one document per row, or one record per row for very large files."""
+"""XML, XML-in-text and JSON documents, one document per row whatever its size; or one record per row on request."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from . import formats as f
 from .files import matches_pattern, number_file_rows, stamp, with_file_metadata, with_record_ids
 
-# A document above this size is not held in one row: XML goes through
-# ``read_xml_records``, JSON is reported by ``oversize_documents``. A parsed
-# document takes several times its size in the memory of one task.
-MAX_DOCUMENT_BYTES = 16 * 1024 * 1024
-
 # which ids each kind of raw row gets
 SERIES = {"xml": 0, "txt": 1, "json": 2, "xml_records": 3}
 
@@ -20,34 +15,33 @@ def hash_document(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def _whole_files(spark, path, pattern, max_bytes) -> DataFrame:
+def _whole_files(spark, path, pattern) -> DataFrame:
+    """One row per file. A file of more than 2 GB does not fit in a row and fails the read; none is left out."""
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     files = with_file_metadata(files).drop("_block_start")
-    if pattern:
-        files = files.filter(matches_pattern(F.col("source_file_path"), pattern))
-    return files.filter(F.col("file_size_bytes") <= max_bytes)
+    return files.filter(matches_pattern(F.col("source_file_path"), pattern)) if pattern else files
 
 
 def read_xml_documents(
     spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientA",
-    pattern: str | None = f.XML_PATTERN, start_id: int = 0, max_bytes: int = MAX_DOCUMENT_BYTES,
+    pattern: str | None = f.XML_PATTERN, start_id: int = 0,
 ) -> DataFrame:
-    docs = _whole_files(spark, path, pattern, max_bytes).withColumnRenamed("value", "raw_xml_content")
+    docs = _whole_files(spark, path, pattern).withColumnRenamed("value", "raw_xml_content")
     docs = docs.withColumn("record_hash", hash_document(F.col("raw_xml_content")))
     return stamp(with_record_ids(docs, start_id, SERIES["xml"]), batch_id, as_of, client, "XML")
 
 
 def read_txt_documents(
     spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientA",
-    pattern: str | None = f.TXT_PATTERN, start_id: int = 0, max_bytes: int = MAX_DOCUMENT_BYTES,
+    pattern: str | None = f.TXT_PATTERN, start_id: int = 0,
 ) -> DataFrame:
-    docs = _whole_files(spark, path, pattern, max_bytes).withColumnRenamed("value", "raw_text_content")
+    docs = _whole_files(spark, path, pattern).withColumnRenamed("value", "raw_text_content")
     return stamp(with_record_ids(docs, start_id, SERIES["txt"]), batch_id, as_of, client, "TXT_XML")
 
 
 def read_json_documents(
     spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientC",
-    pattern: str | None = f.JSON_PATTERN, start_id: int = 0, max_bytes: int = MAX_DOCUMENT_BYTES, lines: bool = False,
+    pattern: str | None = f.JSON_PATTERN, start_id: int = 0, lines: bool = False,
 ) -> DataFrame:
     """One row per JSON file, or per line with ``lines`` (splittable, for very large files)."""
     if lines:
@@ -56,7 +50,7 @@ def read_json_documents(
         if pattern:
             docs = docs.filter(matches_pattern(F.col("source_file_path"), pattern))
     else:
-        docs = _whole_files(spark, path, pattern, max_bytes)
+        docs = _whole_files(spark, path, pattern)
     docs = docs.withColumnRenamed("value", "raw_json_content")
     docs = docs.withColumn("record_hash", hash_document(F.col("raw_json_content")))
     return stamp(with_record_ids(docs, start_id, SERIES["json"]), batch_id, as_of, client, "JSON")
@@ -74,18 +68,6 @@ def read_txt_lines(spark: SparkSession, path) -> DataFrame:
     return with_file_metadata(spark.read.option("recursiveFileLookup", "true").text(path)).drop("_block_start")
 
 
-def oversize_documents(spark: SparkSession, path, *, pattern: str | None = None, max_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
-    """Files too large for one row, as (source_file_name, source_file_path, file_size_bytes)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    if pattern:
-        files = files.filter(matches_pattern(F.col("path"), pattern))
-    return files.filter(F.col("length") > max_bytes).select(
-        F.element_at(F.split("path", "/"), -1).alias("source_file_name"),
-        F.col("path").alias("source_file_path"),
-        F.col("length").alias("file_size_bytes"),
-    )
-
-
 # ---- XML inside text ------------------------------------------------------
 
 COMMENT = r"(?s)<!--.*?-->"
@@ -119,7 +101,7 @@ def parse_txt_xml(docs: DataFrame) -> DataFrame:
     )
 
 
-# ---- very large XML files -------------------------------------------------
+# ---- XML files record by record --------------------------------------------
 
 RECORD_END = "</Transaction>"
 
@@ -127,8 +109,9 @@ RECORD_END = "</Transaction>"
 def split_xml_records(pieces: DataFrame, batch_id: str, as_of: str, *, client: str = "ClientA", start_id: int = 0) -> DataFrame:
     """Transactions from text pieces that each end where a ``</Transaction>`` was.
 
-    ``crosses_comment`` marks a record whose comment runs over a record end;
-    such a file needs the whole-document reader.
+    Records are read without the document around them, so this is for feeds
+    known to be well-formed and without comments over record ends;
+    ``crosses_comment`` marks the piece in which such a comment opens.
     """
     to_open_tag = r"(?s)^.*?(?=<Transaction[\s>])"
     pieces = pieces.withColumn("_text", F.regexp_replace("value", COMMENT, ""))
@@ -148,15 +131,16 @@ def split_xml_records(pieces: DataFrame, batch_id: str, as_of: str, *, client: s
 
 def read_xml_records(
     spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientA",
-    pattern: str | None = None, start_id: int = 0, min_bytes: int = MAX_DOCUMENT_BYTES,
+    pattern: str | None = None, start_id: int = 0,
 ) -> DataFrame:
-    """One row per ``<Transaction>`` of the files above ``min_bytes``.
+    """One row per ``<Transaction>``, for feeds delivered as files of any size.
 
     The closing tag is the record separator, so a file is split among tasks
-    like any text file and no task sees a whole document.
+    like any text file and no task sees a whole document. The choice is the
+    caller's, never one of file size.
     """
     pieces = spark.read.option("recursiveFileLookup", "true").text(path, lineSep=RECORD_END)
-    pieces = with_file_metadata(pieces).filter(F.col("file_size_bytes") > min_bytes)
+    pieces = with_file_metadata(pieces)
     if pattern:
         pieces = pieces.filter(matches_pattern(F.col("source_file_path"), pattern))
     return split_xml_records(pieces, batch_id, as_of, client=client, start_id=start_id)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..session import fresh_path
+from ..session import materialize
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +55,7 @@ def stamp(df: DataFrame, batch_id: str, as_of: str, client: str | None = None, f
     return out
 
 
-_TASK_SLOTS = 1 << 20  # more tasks than one scan ever has
+_TASK_SLOTS = 1 << 24  # tasks of one scan; a scan with more fails instead of giving one id twice
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a task in its lower 33 bits
 
 
@@ -67,37 +67,39 @@ def with_record_ids(df: DataFrame, last_id: int = 0, series: int = 0) -> DataFra
 
     Row r of task t gets the number ``r * slots + t``, so ids stay small even
     though the number of rows per task is not known beforehand. Tables with
-    different ``series`` never share an id.
+    different ``series`` never share an id. A scan of more tasks than there are
+    slots is refused.
     """
     numbered = df.withColumn("_scan_id", F.monotonically_increasing_id())
     row = F.col("_scan_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     task = F.shiftright("_scan_id", _ROW_BITS)
-    number = row * _TASK_SLOTS + task + F.lit(last_id // _SERIES + 1)
+    slot = F.when(task < _TASK_SLOTS, task).otherwise(F.raise_error(F.lit("more scan tasks than record ids have room for")).cast("bigint"))
+    number = row * _TASK_SLOTS + slot + F.lit(last_id // _SERIES + 1)
     return numbered.withColumn("raw_record_id", number * _SERIES + series).drop("_scan_id")
 
 
 def number_file_rows(df: DataFrame) -> DataFrame:
     """``file_row_number``: the 1-based position of a row in its file.
 
-    Scan ids grow by one from row to row inside a file split, so a position is
-    the number of rows in earlier splits of the file plus the distance to the
-    split's first id. Only one line per split is aggregated and written; the
-    rows themselves are neither shuffled nor sorted, whatever the size of the
-    largest file. The written table has a known size, from which the optimizer
-    chooses a broadcast or a shuffled join.
+    The input is scanned once: the rows are written with the scan id of their
+    split, and both the counts per split and the numbers come from that one
+    table. (A second scan may be cut into other splits, for instance when
+    executors come and go between two jobs, and would not match the first.) Scan
+    ids grow by one from row to row inside a split, so a position is the number of
+    rows in earlier splits of the file plus the distance to the split's first id.
+    The rows are neither shuffled nor sorted, whatever the size of the largest
+    file; one line per split is aggregated.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, "splits")
-    df = df.withColumn("_scan_id", F.monotonically_increasing_id())
-    splits = df.groupBy("source_file_path", "_block_start").agg(
+    rows = materialize(df.withColumn("_scan_id", F.monotonically_increasing_id()), "numbered")
+    splits = rows.groupBy("source_file_path", "_block_start").agg(
         F.min("_scan_id").alias("_first_id"), F.count(F.lit(1)).alias("_rows")
     )
     earlier = W.partitionBy("source_file_path").orderBy("_block_start").rowsBetween(W.unboundedPreceding, -1)
-    splits = splits.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-    splits.select("source_file_path", "_block_start", "_first_id", "_offset").write.parquet(path)
-    known = spark.read.parquet(path)
+    splits = splits.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    # a written table has a known size, from which the optimizer chooses a broadcast or a shuffled join
+    known = materialize(splits, "splits")
     return (
-        df.join(known, ["source_file_path", "_block_start"])
+        rows.join(known, ["source_file_path", "_block_start"])
         .withColumn("file_row_number", F.col("_scan_id") - F.col("_first_id") + F.col("_offset") + 1)
         .drop("_first_id", "_offset", "_scan_id")
     )

@@ -11,6 +11,9 @@ from ..sources.files import matches_pattern, with_file_metadata
 
 FILES_PER_STEP = 10000
 
+# late and re-sent deliveries are normal: no file is too old to be read
+_NO_AGE_LIMIT = "36500d"
+
 
 def file_stream(
     spark: SparkSession, path: str, *, glob: str = "*", schema=None, options: dict | None = None,
@@ -21,6 +24,7 @@ def file_stream(
         spark.readStream.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_step)
+        .option("maxFileAge", _NO_AGE_LIMIT)
     )
     if separator is not None:
         return with_file_metadata(reader.text(path, lineSep=separator))
@@ -29,18 +33,6 @@ def file_stream(
     return with_file_metadata(reader.schema(schema).options(**(options or {})).csv(path))
 
 
-def large_file_stream(spark: SparkSession, path: str, min_bytes: int, glob: str = "*") -> DataFrame:
-    """A stream of (source_file_path, file_size_bytes) over files above a size; contents are not read."""
-    files = (
-        spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-        .schema("path string, modificationTime timestamp, length bigint, content binary").load(path)
-    )
-    return files.filter(F.col("length") > min_bytes).select(
-        F.element_at(F.split("path", "/"), -1).alias("source_file_name"),
-        F.col("path").alias("source_file_path"), F.col("length").alias("file_size_bytes"),
-    )
-
-
 def start_file_ingest(
     stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], pattern: str | None = None
 ) -> StreamingQuery:

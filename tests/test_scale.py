@@ -89,7 +89,7 @@ def test_large_xml_file_is_read_record_by_record(spark, tmp_path, small_splits):
     (tmp_path / "ClientA_big.xml").write_text(f'<?xml version="1.0"?><SalesData client="ClientA">{body}</SalesData>')
     whole = documents.read_xml_documents(spark, str(tmp_path), BATCH, AS_OF)
     sources = whole.select(*[c for c in staging_xml.LINEAGE if c != "file_hash"], F.col("record_hash").alias("file_hash"), F.col("raw_xml_content").alias("xml_doc"))
-    records = documents.read_xml_records(spark, str(tmp_path), BATCH, AS_OF, min_bytes=1000)
+    records = documents.read_xml_records(spark, str(tmp_path), BATCH, AS_OF)
     assert records.rdd.getNumPartitions() > 3
 
     def staged(flat):
@@ -98,13 +98,11 @@ def test_large_xml_file_is_read_record_by_record(spark, tmp_path, small_splits):
 
     assert staged(staging_xml.parse_xml_records(records)) == staged(staging_xml.flatten_xml_transactions(sources))
     assert len(staged(staging_xml.parse_xml_records(records))) == 400
-    assert documents.read_xml_documents(spark, str(tmp_path), BATCH, AS_OF, max_bytes=1000).count() == 0
-    assert documents.oversize_documents(spark, str(tmp_path), max_bytes=1000).count() == 1
 
 
 def test_comment_over_a_record_end_is_reported(spark, tmp_path):
     (tmp_path / "a.txt").write_text("<Transaction><TransactionID>1</TransactionID><!-- x</Transaction> --></Transaction>")
-    records = documents.read_xml_records(spark, str(tmp_path), BATCH, AS_OF, min_bytes=0)
+    records = documents.read_xml_records(spark, str(tmp_path), BATCH, AS_OF)
     assert records.filter("crosses_comment").count() == 1
 
 

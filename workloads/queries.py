@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -67,7 +68,7 @@ def read_xml_documents(w):
 
 @query("read_xml_records", "SELECT transaction_id_raw, order_id_raw, customer_id_raw, (SELECT count(*) FROM raw_lines l WHERE l.o = landed_a.o) AS item_count FROM landed_a")
 def read_xml_records(w):
-    records = documents.read_xml_records(w.spark, w.inputs.xml_files(), BATCH, AS_OF, min_bytes=0)
+    records = documents.read_xml_records(w.spark, w.inputs.xml_files(), BATCH, AS_OF)
     flat = staging_xml.extract_xml_fields(staging_xml.parse_xml_records(records))
     counted = flat.withColumn("item_count", F.coalesce(F.size("items"), F.lit(0)))
     return pick(counted, "transaction_id_raw, order_id_raw, customer_id_raw, item_count")
@@ -91,7 +92,7 @@ _JSON_FIELDS = "transaction_id_raw, transaction_id_alt_raw, order_id_raw, custom
 
 @same("read_json_documents", _JSON_FIELDS, "raw_headers_c")
 def read_json_documents(w):
-    docs = documents.read_json_documents(w.spark, w.inputs.json_files(), BATCH, AS_OF, max_bytes=1 << 30)
+    docs = documents.read_json_documents(w.spark, w.inputs.json_files(), BATCH, AS_OF)
     return pick(staging_json.extract_json_fields(staging_json.flatten_json_transactions(docs)), _JSON_FIELDS)
 
 
@@ -1242,17 +1243,23 @@ def trace_transaction(w):
 @query("erase_customer", """SELECT 'dim_customer' AS table_name, customer_id AS row_key FROM dim_customer WHERE customer_id <> 'CUST-A-7'
     UNION ALL SELECT 'fact_transaction', source_client || transaction_id FROM fact_ac WHERE customer_id IS DISTINCT FROM 'CUST-A-7'
     UNION ALL SELECT 'fact_order', order_id FROM fact_order WHERE customer_id IS DISTINCT FROM 'CUST-A-7'
-    UNION ALL SELECT 'fact_payment', payment_id FROM fact_payment WHERE order_id NOT IN (SELECT order_id FROM fact_order WHERE customer_id = 'CUST-A-7')
-      AND transaction_id NOT IN (SELECT transaction_id FROM fact_ac WHERE customer_id = 'CUST-A-7')""")
+    UNION ALL SELECT 'fact_transaction_item', CAST(transaction_item_sk AS VARCHAR) FROM fact_item i
+      WHERE transaction_sk NOT IN (SELECT transaction_sk FROM fact_ac WHERE customer_id = 'CUST-A-7')
+    UNION ALL SELECT 'fact_payment', payment_id FROM fact_payment p
+      WHERE EXISTS (SELECT 1 FROM fact_order f WHERE f.order_id = p.order_id AND f.customer_id IS DISTINCT FROM 'CUST-A-7')
+         OR NOT (EXISTS (SELECT 1 FROM fact_order f WHERE f.order_id = p.order_id) OR EXISTS (SELECT 1 FROM fact_ac t WHERE t.order_id = p.order_id AND t.customer_id = 'CUST-A-7')
+            OR (EXISTS (SELECT 1 FROM fact_ac t WHERE t.transaction_id = p.transaction_id AND t.customer_id = 'CUST-A-7')
+                AND NOT EXISTS (SELECT 1 FROM fact_ac t WHERE t.transaction_id = p.transaction_id AND t.customer_id IS DISTINCT FROM 'CUST-A-7')))""")
 def erase_customer(w):
-    tables = {"dim_customer": w.dim_customer.filter("customer_sk != -1"), "fact_transaction": w.fact_ac, "fact_order": w.fact_order, "fact_payment": w.fact_payment}
+    tables = {"dim_customer": w.dim_customer.filter("customer_sk != -1"), "fact_transaction": w.fact_ac, "fact_order": w.fact_order, "fact_payment": w.fact_payment,
+              "fact_transaction_item": w.fact_item}
     left = operations.erase_customer(tables, "CUST-A-7")
     keys_of = {
         "dim_customer": c("customer_id"), "fact_transaction": F.concat("source_client", "transaction_id"), "fact_order": c("order_id"),
-        "fact_payment": c("payment_id"),
+        "fact_payment": c("payment_id"), "fact_transaction_item": c("transaction_item_sk").cast("string"),
     }
     parts = [left[n].select(F.lit(n).alias("table_name"), k.alias("row_key")) for n, k in keys_of.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("incremental_file_ingest", "SELECT order_id_raw, customer_id_raw, CAST(1 AS BIGINT) AS times_loaded FROM raw_orders WHERE order_id_raw <> ''")
