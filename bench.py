@@ -31,6 +31,8 @@ OPERATORS = [
     "calculate_dq_metrics", "apply_validation_rules", "quarantine_rejects",
     "report_issue_summary", "report_duplicate_summary", "report_transaction_quality", "report_anomaly_detail",
     "report_file_quality", "report_batch_quality", "report_issue_trend", "report_customer_quality", "report_reconciliation",
+    # from files: parsing, row numbers, ids, two whole runs
+    "capture_file_metadata", "read_csv_orders", "read_xml_documents", "read_json_documents", "run_pipeline",
 ]
 
 
