@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from ..session import materialize
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, length, modification_time) per file; contents are not read."""
     return (
         spark.read.format("binaryFile")

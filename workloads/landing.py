@@ -72,6 +72,17 @@ class Landing:
         ).option("ignoreTrailingWhiteSpace", False).option("maxRecordsPerFile", 20000).csv(path)
         return path
 
+    def csv_inbox(self, sql: str, entity: formats.CsvEntity, name: str) -> str:
+        """The same, below a folder, in files of the given name."""
+        folder = self.csv_files(sql, entity, entity.target)
+        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = fs_path(folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        parts = [f.getPath() for f in fs.listStatus(fs_path(folder)) if f.getPath().getName().startswith("part-")]
+        for i, part in enumerate(parts):  # one folder for each part file
+            fs.mkdirs(fs_path(f"{folder}/{i}"))
+            fs.rename(part, fs_path(f"{folder}/{i}/{name}"))
+        return folder
+
     # ---- documents ----
 
     @property
@@ -183,8 +194,8 @@ class Landing:
         docs = self.documents_c.drop("doc").withColumn("record_hash", hash_document(F.col("raw_json_content")))
         return stamp(docs, BATCH, AS_OF, "ClientC", "JSON")
 
-    def xml_files(self) -> str:
-        """Write all client-A transactions as XML documents of at most 256 transactions; returns the folder."""
+    def xml_files(self, condition: str = "true") -> str:
+        """Write client-A transactions as XML documents of at most 256 transactions; returns the folder."""
         path = f"{fresh_path(self.spark, 'landing-xml')}/ClientA_Transactions"
         c = F.col
         priced = F.struct(c("unit_price_text").alias("_VALUE"), c("currency_text").alias("_currency"))
@@ -194,9 +205,10 @@ class Landing:
         )
         items = self.rows(truth.ITEM_TEXT).filter("o % 2 = 0").select("o", F.struct("line", item.alias("item")).alias("i"))
         baskets = items.groupBy("o").agg(F.transform(F.array_sort(F.collect_list("i")), lambda i: i["item"]).alias("Item"))
-        customer = F.struct(c("customer_id_raw").alias("CustomerID"), c("email_raw").alias("Email"))
+        name = F.struct(c("first_name_raw").alias("FirstName"), c("last_name_raw").alias("LastName"))
+        customer = F.struct(c("customer_id_raw").alias("CustomerID"), name.alias("Name"), c("email_raw").alias("Email"))
         amount = F.struct(c("payment_amount_raw").alias("_VALUE"), c("payment_currency_raw").alias("_currency"))
-        rows = self.rows(truth.HEADERS_A).join(baskets, "o", "left").select(
+        rows = self.rows(truth.HEADERS_A).filter(condition).join(baskets, "o", "left").select(
             c("transaction_id_raw").alias("TransactionID"),
             F.struct(c("order_id_raw").alias("OrderID"), c("order_date_raw").alias("OrderDate"), customer.alias("Customer")).alias("Order"),
             F.struct("Item").alias("Items"),
@@ -212,7 +224,10 @@ class Landing:
             F.when(F.col("doc") % 2 == 0, F.col("raw_json_content")).otherwise(
                 F.concat(F.lit('{"transactions":'), "raw_json_content", F.lit("}"))),
             "transactions array<struct<transaction_id:string,txn_id:string,order:struct<order_id:string,order_date:string,status:string,"
-            "customer:struct<customer_id:string,id:string,email:string>>>>",
+            "customer:struct<customer_id:string,id:string,first_name:string,last_name:string,name:string,email:string,loyalty_tier:string,tier:string>>,"
+            "payment:struct<method:string,payment_method:string,amount:string,total:string,currency:string>,"
+            "items:array<struct<sku:string,product_id:string,description:string,name:string,quantity:string,qty:string,unit_price:string,"
+            "price:string,currency:string>>>>",
         ).alias("d"))
         docs.select("d.*").write.option("maxRecordsPerFile", 1).json(path)
         return path

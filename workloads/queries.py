@@ -895,6 +895,35 @@ def load_everything(w):
     return _loaded(w)[2].select("step", "result")
 
 
+@query("run_pipeline", """SELECT 'fact_transaction' AS table_name, source_client || '|' || transaction_id AS row_key, CAST(1 AS BIGINT) AS times FROM fact_ac
+    UNION ALL SELECT 'fact_transaction_item', source_client || '|' || transaction_id || '|' || line_number, 1 FROM fact_item
+    UNION ALL SELECT 'fact_order', order_id, 1 FROM fact_order UNION ALL SELECT 'fact_payment', payment_id, 1 FROM fact_payment""")
+def run_pipeline(w):
+    """The given tables as files in an inbox, through two runs: the second one finds nothing new."""
+    from ledgerloom.plans.loading import FACT_ITEM, FACT_ORDER, FACT_PAYMENT, FACT_TRANSACTION, create_dimensions, read_fact
+    from ledgerloom.plans.pipeline import Pipeline
+
+    inbox = [
+        w.inputs.xml_files("is_txt = 0"), w.inputs.document_files(w.inputs.documents_a.filter("is_txt = 1"), "content", "txt"), w.inputs.json_files(),
+        *[w.inputs.csv_inbox(sql, entity, name) for sql, entity, name in (
+            (truth.CUSTOMERS, formats.CUSTOMERS, "Customer.csv"), (truth.ORDERS, formats.ORDERS, "Orders.csv"),
+            (truth.PRODUCTS, formats.PRODUCTS, "Products.csv"), (truth.PAYMENTS, formats.PAYMENTS, "Payments.csv"),
+        )],
+    ]
+    store = TableStore(w.spark, fresh_path(w.spark, "pipeline-store"))
+    create_dimensions(store, AS_OF, "1995-01-01", "2002-12-31")
+    pipeline = Pipeline(w.spark, store, inbox)
+    pipeline.run(BATCH, AS_OF)
+    pipeline.run("BATCH_2", AS_OF_2)
+    facts_of = {
+        "fact_transaction": (FACT_TRANSACTION, F.concat_ws("|", "source_client", "transaction_id")),
+        "fact_transaction_item": (FACT_ITEM, F.concat_ws("|", "source_client", "transaction_id", "line_number")),
+        "fact_order": (FACT_ORDER, c("order_id")), "fact_payment": (FACT_PAYMENT, c("payment_id")),
+    }
+    parts = [read_fact(store, n).select(F.lit(label).alias("table_name"), k.alias("row_key")) for label, (n, k) in facts_of.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name", "row_key").agg(F.count(F.lit(1)).alias("times"))
+
+
 @query("check_unique", "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def check_unique(w):
     return keys.check_unique(w.inputs.table("lineitem"), ["l_orderkey", "l_linenumber"])
