@@ -31,6 +31,8 @@ from .common import Scratch
 K1, B = 1.2, 0.75
 # share of an item's own score that retrieves it
 THRESHOLD = 0.6
+# share of an item's score that its closed lists may add: fewer open lists to read, or tighter bounds
+CLOSED = 0.35
 # items per block of the index
 BLOCK = 8
 # least share of the question's and the answer's runs of words that the passage holds
@@ -61,6 +63,27 @@ def _terms(texts: list[str]) -> list[np.ndarray]:
     return [hashes[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
 
 
+@dataclass
+class Postings:
+    """The non-zero entries of a matrix by row."""
+
+    starts: np.ndarray
+    columns: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, matrix: np.ndarray) -> Postings:
+        rows, columns = np.nonzero(matrix)
+        return cls(np.searchsorted(rows, np.arange(len(matrix) + 1)), columns, matrix[rows, columns])
+
+    def expand(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``rows``, column, value) for all entries of these rows."""
+        n = self.starts[rows + 1] - self.starts[rows]
+        place = np.repeat(np.arange(len(rows)), n)
+        at = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n) + self.starts[rows][place]
+        return place, self.columns[at], self.values[at]
+
+
 @dataclass
 class Index:
     """An inverted index of test items, small enough to travel with each task."""
@@ -72,8 +95,10 @@ class Index:
     known: np.ndarray  # by the low bits of a hash: some term has them
     impact: np.ndarray  # (term, item) share of the item's own score
     essential: np.ndarray  # terms with an open list
-    opened: list  # for each essential term: its blocks, and the largest impact of an open list in each
-    rest: np.ndarray  # by block: the most its closed lists add
+    lists: Postings  # open lists: the items of each term, with their impacts
+    blocks: Postings  # the blocks of each open list, with their largest impacts
+    closed: np.ndarray  # by item: what its closed lists add in all
+    rest: np.ndarray  # by block: the most that is
 
     @classmethod
     def build(cls, items: list, texts: list[str], df: dict[int, int], total: int, mean_length: float) -> Index:
@@ -90,21 +115,20 @@ class Index:
         order = np.argsort(impact, axis=0, kind="stable")
         sums = np.cumsum(np.take_along_axis(impact, order, axis=0), axis=0)
         closed = np.zeros(impact.shape, bool)
-        np.put_along_axis(closed, order, sums < THRESHOLD - 1e-9, axis=0)
+        np.put_along_axis(closed, order, sums < CLOSED, axis=0)
         open_ = np.where(closed, 0.0, impact)
         blocks = -(-len(items) // BLOCK)
         pad = blocks * BLOCK - len(items)
         block_max = np.pad(open_, ((0, 0), (0, pad))).reshape(len(vocabulary), blocks, BLOCK).max(axis=2)
-        closed_sum = np.pad((impact * closed).sum(axis=0), (0, pad)).reshape(blocks, BLOCK).max(axis=1)
-        essential = block_max.any(axis=1)
-        opened = [(np.flatnonzero(row), row[row > 0]) for row in block_max]
+        closed_sum = (impact * closed).sum(axis=0)
+        rest = np.pad(closed_sum, (0, pad)).reshape(blocks, BLOCK).max(axis=1)
         known = np.zeros(_KNOWN, bool)
         known[(vocabulary & np.uint64(_KNOWN - 1)).astype(np.int64)] = True
         parts = zip(*map(question_and_answer, texts))
         # (words of a run, distinct runs) of question and answer
         runs = list(zip(*[[(min(SHINGLE, len(x)), np.unique(textkit.shingle_hashes(x, SHINGLE))) for x in _terms(list(part))] for part in parts]))
         half = max(PASSAGE // 2, max((len(t) for t in terms), default=0))
-        return cls(items, runs, half, vocabulary, known, impact, essential, opened, closed_sum)
+        return cls(items, runs, half, vocabulary, known, impact, open_.any(axis=1), Postings.of(open_), Postings.of(block_max), closed_sum, rest)
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, terms) of the words that the vocabulary holds."""
@@ -124,35 +148,36 @@ class Index:
         halves = np.maximum(1, -(-np.diff(bounds) // self.half))
         first = np.concatenate(([0], np.cumsum(halves)))
         place = first[doc] + half_of
-        # open lists: distinct (passage, term), then sums of block maxima
+        # open lists: distinct (passage, term)
         strong = self.essential[term]
         hit, hit_term = place[strong], term[strong]
-        begun = np.concatenate((hit, hit[half_of[strong] > 0] - 1))
-        keys = np.unique(begun * len(self.vocabulary) + np.concatenate((hit_term, hit_term[half_of[strong] > 0])))
+        later = half_of[strong] > 0
+        keys = np.unique(np.concatenate((hit, hit[later] - 1)) * len(self.vocabulary) + np.concatenate((hit_term, hit_term[later])))
         passage, t = keys // len(self.vocabulary), keys % len(self.vocabulary)
         if not len(t):
             return
-        sizes = np.array([len(self.opened[i][0]) for i in range(len(self.opened))])
-        starts = np.concatenate(([0], np.cumsum(sizes)))
-        all_blocks = np.concatenate([o[0] for o in self.opened])
-        all_max = np.concatenate([o[1] for o in self.opened])
-        n = sizes[t]
-        flat = np.repeat(starts[t] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        pair = np.repeat(passage, n) * len(self.rest) + all_blocks[flat]
-        found, inverse = np.unique(pair, return_inverse=True)
-        bound = np.bincount(inverse, all_max[flat]) + self.rest[found % len(self.rest)]
+        # block maxima: only blocks that can hold an item at the threshold stay
+        row, block, most = self.blocks.expand(t)
+        found, inverse = np.unique(passage[row] * len(self.rest) + block, return_inverse=True)
+        bound = np.bincount(inverse, most) + self.rest[found % len(self.rest)]
         found = found[bound >= THRESHOLD - 1e-9]
-        # full scores, for the blocks left
+        # their items, by what the open lists hold of each and the most its closed lists add
+        row, item, share = self.lists.expand(t)
+        open_block = passage[row] * len(self.rest) + item // BLOCK
+        at_found = np.minimum(np.searchsorted(found, open_block), max(len(found) - 1, 0))
+        stay = found[at_found] == open_block if len(found) else np.zeros(len(row), bool)
+        pairs, inverse = np.unique(passage[row[stay]] * len(self.items) + item[stay], return_inverse=True)
+        bound = np.bincount(inverse, share[stay], minlength=len(pairs)) + self.closed[pairs % len(self.items)]
+        # full scores for the items left
         order = np.argsort(place, kind="stable")
         placed, terms = place[order], term[order]
-        for one in np.unique(found // len(self.rest)):
+        for pair in pairs[bound >= THRESHOLD - 1e-9].tolist():
+            one, i = divmod(pair, len(self.items))
             d = int(np.searchsorted(first, one, side="right") - 1)
-            last = min(one + 2, first[d + 1])
-            own = np.unique(terms[np.searchsorted(placed, one) : np.searchsorted(placed, last)])
-            for block in found[found // len(self.rest) == one] % len(self.rest):
-                scores = self.impact[own, block * BLOCK : (block + 1) * BLOCK].sum(axis=0)
-                for i in np.flatnonzero(scores >= THRESHOLD - 1e-9):
-                    yield d, int(one - first[d]), int(block * BLOCK + i), float(scores[i])
+            own = np.unique(terms[np.searchsorted(placed, one) : np.searchsorted(placed, min(one + 2, first[d + 1]))])
+            score = float(self.impact[own, i].sum())
+            if score >= THRESHOLD - 1e-9:
+                yield d, int(one - first[d]), i, score
 
     def leaks(self, texts: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
         """(row, item, score, question overlap, answer overlap) for verified items, the best passage of each."""
