@@ -201,6 +201,19 @@ def _with_keys(merged: DataFrame, target: DataFrame, dim: Dimension) -> DataFram
     return merged.filter(F.col(dim.sk).isNotNull()).unionByName(new)
 
 
+def changed_members(target: DataFrame, source: DataFrame, dim: Dimension) -> DataFrame:
+    """The source rows, at most one per key, that a merge would act on: unknown keys, and known members the reference file changes."""
+    current = target.filter(F.col("is_current") & (F.col(dim.sk) != -1)).select(F.col(dim.key).alias("_known"), F.col("record_hash").alias("_hash"))
+    joined = source.join(current, F.col(dim.key) == F.col("_known"), "left")
+    changed = (F.col("_priority") == 0) & ~F.col("record_hash").eqNullSafe(F.col("_hash"))
+    return joined.filter(F.col("_known").isNull() | changed).drop("_known", "_hash")
+
+
+def apply_changes(target: DataFrame, changes: DataFrame, dim: Dimension, as_of: str) -> DataFrame:
+    """``scd2_apply`` for rows found by ``changed_members``."""
+    return _with_keys(_merge(target, changes, dim, as_of, new_versions=True), target, dim)
+
+
 def scd2_apply(target: DataFrame, source: DataFrame, dim: Dimension, as_of: str) -> DataFrame:
     """Expire changed members and add their next version; add unknown keys; keep the rest."""
     return _with_keys(_merge(target, one_per_key(source, dim), dim, as_of, new_versions=True), target, dim)
@@ -231,15 +244,24 @@ def insert_customers_from_client_c(target: DataFrame, staged: DataFrame, as_of:
     return _insert_new(target, customers_from_client_c(staged), CUSTOMER, as_of)
 
 
-def load_dim_customer(target: DataFrame, customers: DataFrame, client_a: DataFrame, client_c: DataFrame, as_of: str) -> DataFrame:
-    """Reference file first, then client A, then client C, in a single merge."""
+def customer_candidates(customers: DataFrame, client_a: DataFrame, client_c: DataFrame) -> DataFrame:
+    """Reference file first, then client A, then client C."""
     candidates = customers_from_csv(customers).unionByName(customers_from_client_a(client_a))
-    return scd2_apply(target, candidates.unionByName(customers_from_client_c(client_c)), CUSTOMER, as_of)
+    return candidates.unionByName(customers_from_client_c(client_c))
 
 
-def load_dim_product(target: DataFrame, products: DataFrame, items_a: DataFrame, items_c: DataFrame, as_of: str) -> DataFrame:
+def product_candidates(products: DataFrame, items_a: DataFrame, items_c: DataFrame) -> DataFrame:
     candidates = products_from_csv(products).unionByName(products_from_items(items_a, "ClientA", 1))
-    return scd2_apply(target, candidates.unionByName(products_from_items(items_c, "ClientC", 2)), PRODUCT, as_of)
+    return candidates.unionByName(products_from_items(items_c, "ClientC", 2))
+
+
+def load_dim_customer(target: DataFrame, customers: DataFrame, client_a: DataFrame, client_c: DataFrame, as_of: str) -> DataFrame:
+    """All sources in a single merge."""
+    return scd2_apply(target, customer_candidates(customers, client_a, client_c), CUSTOMER, as_of)
+
+
+def load_dim_product(target: DataFrame, products: DataFrame, items_a: DataFrame, items_c: DataFrame, as_of: str) -> DataFrame:
+    return scd2_apply(target, product_candidates(products, items_a, items_c), PRODUCT, as_of)
 
 
 def dimension_load_counts(dim_after: DataFrame, as_of: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import dims, facts, seeds
 from ..operators.dates import FIRST_DAY, LAST_DAY, build_dim_date
-from ..session import run_together
+from ..session import materialize, run_together
 from .staging import CLIENT_A, CLIENT_A_ITEMS, CLIENT_C, CLIENT_C_ITEMS
 from .store import TableStore
 
@@ -92,13 +92,18 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
     def step(name: str, work: Callable[[], str]) -> Step:
         return Step(name, work(), _now())
 
-    def customers() -> str:
-        store.overwrite(DIM_CUSTOMER, dims.load_dim_customer(store.read(DIM_CUSTOMER), staged["staging.stg_customers"], a, c, as_of))
+    def dimension(name: str, dim: dims.Dimension, candidates: DataFrame) -> str:
+        # only members that change are merged; without any, no new version is written
+        changes = materialize(dims.changed_members(store.read(name), dims.one_per_key(candidates, dim), dim), f"{dim.name}-changes")
+        if not changes.isEmpty():
+            store.overwrite(name, dims.apply_changes(store.read(name), changes, dim, as_of))
         return "Completed"
 
+    def customers() -> str:
+        return dimension(DIM_CUSTOMER, dims.CUSTOMER, dims.customer_candidates(staged["staging.stg_customers"], a, c))
+
     def products() -> str:
-        store.overwrite(DIM_PRODUCT, dims.load_dim_product(store.read(DIM_PRODUCT), staged["staging.stg_products"], items_a, items_c, as_of))
-        return "Completed"
+        return dimension(DIM_PRODUCT, dims.PRODUCT, dims.product_candidates(staged["staging.stg_products"], items_a, items_c))
 
     steps = run_together(lambda: step("dim_customer", customers), lambda: step("dim_product", products))
     dim_customer, dim_product, dim_date = store.read(DIM_CUSTOMER), store.read(DIM_PRODUCT), store.read(DIM_DATE)
