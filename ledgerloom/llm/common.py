@@ -68,15 +68,16 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str) -> Data
     step = 0
     while seen["n"]:
         step += 1
-        both = now.union(now.select("v", "u")).toDF("u", "v")
+        # one exchange serves the smallest neighbour and the join with it
+        both = now.union(now.select("v", "u")).toDF("u", "v").repartition("u")
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).repartition("u")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        paired = large.join(least, "u")
-        down = paired.filter("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        down = large.join(least, "u").filter("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
         step_edges = down.union(least.select("u", F.col("m").alias("v"))).distinct()
         before = seen
-        now, seen = scratch.save_counted(step_edges, f"{label}-{step}", **mark)
+        # few links need few files
+        now, seen = scratch.save_counted(step_edges.coalesce(max(8, seen["n"] // 100_000)), f"{label}-{step}", **mark)
         scratch.drop(f"{label}-{step - 1}")
         if seen == before:
             break
