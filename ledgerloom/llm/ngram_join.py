@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..operators.keys import keep_first
 from . import textkit
@@ -38,6 +38,8 @@ LONGEST = 4
 COMMON = 32
 # estimated cost of one verification, in postings read
 VERIFY_COST = 8
+# the part of the token space that is counted, in percent of the share a prefix needs
+COUNTED = 170
 # bits of a token hash
 _BITS = 63
 
@@ -94,9 +96,14 @@ def _verified(pairs: DataFrame, rows: int, docs: DataFrame, classes: DataFrame,
     return linked.filter(100 * F.col("shared").cast("bigint") >= percent * union.cast("bigint")).select("u", "v")
 
 
-def _fits(a: str, b: str, percent: int):
-    """Set sizes alone do not rule the pair out."""
-    return (100 * F.least(a, b).cast("bigint") >= percent * F.greatest(a, b).cast("bigint")) & (F.col(a) > 0)
+def _reaches(overlap: Column, n_u: Column, n_v: Column, percent: int) -> Column:
+    """An intersection of this size would make sets of these sizes similar enough."""
+    return overlap.cast("bigint") * (100 + percent) >= percent * (n_u + n_v).cast("bigint")
+
+
+def _fits(n_u: Column, lone_u: Column, n_v: Column, lone_v: Column, percent: int) -> Column:
+    """Sizes, and the tokens of either side that the other cannot hold, do not rule the pair out."""
+    return _reaches(F.least(n_u - lone_u, n_v - lone_v), n_u, n_v, percent)
 
 
 def _choice(n: int, counts: np.ndarray, percent: int) -> tuple[int, int]:
@@ -198,12 +205,14 @@ def _marks(sets: DataFrame) -> DataFrame:
 
 
 def _prefixes(classes: DataFrame, docs: DataFrame, k: int, percent: int, below: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """``(token, node, n, l)``: the adaptive prefix of every class; and ``(node, min_id)``."""
+    """``(place, token, node, n, l)``: the adaptive prefix of every class; and ``(node, min_id)``."""
     none = F.lit([]).cast("array<struct<token:bigint,df:bigint>>")
     kind = classes.schema["min_id"].dataType.simpleString()
     shape = f"node bigint, n int, min_id {kind}, l int, tokens array<bigint>"
     marked = classes.join(_marks(classes), "node", "left").select("node", "n", "min_id", "tokens", F.coalesce("marks", none).alias("marks"))
     chosen, seen = scratch.save_counted(marked.mapInArrow(_prefix_rows(percent), shape), "chosen", lacking=F.count_if(F.col("l") == 0))
+    scratch.drop("classes")
+    ids = scratch.save(chosen.select("node", "min_id"), "ids")
     prefixes = chosen.filter("l > 0")
     if seen["lacking"]:
         lacking = chosen.filter("l = 0")
@@ -213,7 +222,8 @@ def _prefixes(classes: DataFrame, docs: DataFrame, k: int, percent: int, below:
             "node", "n", "min_id", "tokens", F.coalesce("marks", none).alias("marks"), "commons"
         )
         prefixes = prefixes.union(scratch.save(ready.mapInArrow(_whole_rows(percent, below), shape), "whole-chosen"))
-    return prefixes.select(F.explode("tokens").alias("token"), "node", "n", "l"), chosen.select("node", "min_id")
+        scratch.drop("whole")
+    return prefixes.select(F.posexplode("tokens").alias("place", "token"), "node", "n", "l"), ids
 
 
 def ngram_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -232,7 +242,7 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text_column: st
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram-join")
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    below = min(1 << _BITS, 2 * (100 - percent) * (1 << _BITS) // 100) - 1
+    below = min(1 << _BITS, COUNTED * (100 - percent) * (1 << _BITS) // 10_000) - 1
     base = scratch.save(_sets(docs, words, below, only_full=False), "base")
     classes = scratch.save(
         base.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("id").alias("min_id"), F.first("tokens").alias("tokens")),
@@ -242,10 +252,16 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text_column: st
     scratch.drop("base")
     # postings of tokens that at least two prefixes hold; all later steps work on these
     prefixes, classes = _prefixes(classes, docs, words, percent, below, scratch)
-    scratch.drop("classes")
     held = prefixes.repartition("token")
     live = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    live, seen = scratch.save_counted(held.join(live.hint("shuffle_hash"), "token"), "live")
+    live = scratch.save(held.join(live.hint("shuffle_hash"), "token"), "held")
+    # tokens of a prefix that no other prefix holds: a partner that shares a later token lacks them
+    own = W.partitionBy("node")
+    lone = F.col("place") + 1 - F.row_number().over(own.orderBy("place"))
+    live = live.withColumn("lone", lone).withColumn("far", F.max("lone").over(own))
+    fits = _reaches(F.col("n") - F.col("lone"), F.col("n"), F.ceil(F.col("n") * percent / 100), percent)
+    live, seen = scratch.save_counted(live.filter(fits), "live")
+    scratch.drop("held", "chosen", "whole-chosen")
     links = None
     if seen["n"]:
         links = _links(live, docs, classes, words, percent, scratch)
@@ -265,14 +281,13 @@ def ngram_components(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
 def _links(live: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """Verified links (u, v) that connect every component."""
-    # hubs: the two classes of each token that come first and last by a hash of their number
-    rank = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("node"), F.col("n").alias("n"), F.col("l").alias("l"))
-    hubs = live.groupBy("token").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi"))
-    near = live.join(hubs, "token").select("node", "n", "l", F.explode(F.array("lo", "hi")).alias("hub"))
-    near = near.filter(F.col("node") != F.col("hub.node")).withColumn("hub_n", F.col("hub.n")).filter(_fits("n", "hub_n", percent))
-    pairs = near.select(
-        F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v"), F.least("l", "hub.l").alias("l")
-    ).groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"), F.min("l").alias("l")).filter("shared >= l").select("u", "v")
+    # hubs of each token: the classes nearest to all others, with the fewest tokens that nobody shares; ties by two hashes
+    rank = lambda h: F.struct("far", h.alias("h"), "node", "n", "l", "lone")
+    hubs = live.groupBy("token").agg(F.min(rank(F.xxhash64("node"))).alias("lo"), F.min(rank(-F.xxhash64("node"))).alias("hi"))
+    near = live.join(hubs, "token").select("node", "n", "l", "lone", F.explode(F.array("lo", "hi")).alias("hub"))
+    near = near.filter(F.col("node") != F.col("hub.node")).filter(_fits(F.col("n"), F.col("lone"), F.col("hub.n"), F.col("hub.lone"), percent))
+    pairs = near.select(F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v"), F.least("l", "hub.l").alias("l"))
+    pairs = pairs.groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"), F.min("l").alias("l")).filter("shared >= l").select("u", "v")
     tried, seen = scratch.save_counted(pairs, "hub-pairs")
     first = scratch.save(_verified(tried, seen["n"], docs, classes, k, percent, scratch, "hub"), "hub-links")
     parts = scratch.save(connected_components(first, scratch, "hub-parts"), "hub-roots")
@@ -282,11 +297,21 @@ def _links(live: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent
     open_, seen = scratch.save_counted(placed.join(mixed, "token", "left_semi"), "open")
     if not seen["n"]:
         return first
-    a, b = open_.toDF("token", "u", "n_u", "l_u", "part_u"), open_.toDF("token", "v", "n_v", "l_v", "part_v")
-    crossing = a.join(b, "token").filter((F.col("part_u") != F.col("part_v")) & (F.col("u") > F.col("v")) & _fits("n_u", "n_v", percent))
-    pairs = crossing.groupBy("u", "v").agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("l_u", "l_v")).alias("l"))
-    pairs = pairs.filter("shared >= l").select("u", "v").join(tried, ["u", "v"], "left_anti")
-    rest, seen = scratch.save_counted(pairs, "rest-pairs")
+    names = ["token", "node", "n", "l", "place", "lone", "part"]
+    a, b = open_.select(*[F.col(c).alias(f"{c}_u" if c != "token" else c) for c in names]), open_.select(*[F.col(c).alias(f"{c}_v" if c != "token" else c) for c in names])
+    fits = _fits(F.col("n_u"), F.col("lone_u"), F.col("n_v"), F.col("lone_v"), percent)
+    # with this token shared, what lies before and behind it bounds the overlap too
+    around = F.least("place_u", "place_v") + 1 + F.least(F.col("n_u") - F.col("place_u"), F.col("n_v") - F.col("place_v")) - 1
+    crossing = a.join(b, "token").filter(
+        (F.col("part_u") != F.col("part_v")) & (F.col("node_u") > F.col("node_v")) & fits & _reaches(around, F.col("n_u"), F.col("n_v"), percent)
+    )
+    pairs = crossing.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(
+        F.count(F.lit(1)).cast("int").alias("shared"), F.min(F.least("l_u", "l_v")).alias("l"), F.first("n_u").alias("n_u"), F.first("n_v").alias("n_v"),
+        F.least(F.min(F.col("n_u") - F.col("place_u")), F.min(F.col("n_v") - F.col("place_v"))).alias("behind"),
+    )
+    # shared tokens up to the last one in both prefixes, and at most all that follow it
+    pairs = pairs.filter((F.col("shared") >= F.col("l")) & _reaches(F.col("shared") + F.col("behind") - 1, F.col("n_u"), F.col("n_v"), percent))
+    rest, seen = scratch.save_counted(pairs.select("u", "v").join(tried, ["u", "v"], "left_anti"), "rest-pairs")
     if not seen["n"]:
         return first
     return scratch.save(first.union(_verified(rest, seen["n"], docs, classes, k, percent, scratch, "rest")), "links")
