@@ -359,7 +359,7 @@ def _dups(stg, client, key, label, how):
     return f"""SELECT '{BATCH}' AS batch_id, '{client}' AS source_client, '{label}' AS duplicate_type, {key} AS duplicate_key, sha256({key}) AS duplicate_key_hash,
       count(*) AS occurrence_count, min(source_file_name) AS first_occurrence_file,
       list_sort(list(DISTINCT source_file_name)) AS all_occurrence_files, '{how}' AS resolution_method
-      FROM {stg} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1"""
+      FROM {stg} WHERE trim({key}) <> '' GROUP BY {key} HAVING count(*) > 1"""
 
 
 CTES["tracker"] = " UNION ALL ".join([
