@@ -1,15 +1,18 @@
 """Main text of web pages by removal of site templates.
 
 Every page is parsed to elements, and each element's subtree gets a hash of its
-tags and texts. Spark counts on how many pages of a host each hash occurs;
-subtrees that recur on many pages of their host are its template and are deleted.
-What marks itself as no main text by its tag, role or class - menus, page headers
-and footers, sidebars, notices, adverts, forms, scripts, reader comments - is
-deleted as well, since menus and adverts may differ from page to page.
-
-Where a page has an article element, that is its main part: text outside it is
-left out, and paragraphs inside it are kept however often other pages repeat
-them; only enclosing sections inside it count as template.
+tags and texts, on the whole page: menus, adverts, footers and wrappers too, also
+where they mark themselves. Three rules then remove text, in this order:
+
+1. Recurrence. Spark counts on how many pages of a host each hash occurs; subtrees
+   that recur on many pages of their host are its template and are deleted. Inside
+   an article or main element only enclosing sections count as template; paragraphs
+   and headings there are kept however often other pages repeat them.
+2. Marks. What marks itself as no main text by its tag, role or class - menus, page
+   headers and footers, sidebars, notices, adverts, forms, scripts, reader comments -
+   is deleted: recurrence alone cannot remove what differs from page to page.
+3. Main part. Where text is left in an article or main element, text outside of
+   such elements is left out.
 """
 
 from __future__ import annotations
@@ -44,6 +47,8 @@ HIDDEN_NAMES = frozenset(
     "alert popup modal overlay newsletter subscribe signup sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead "
     "comment comments respond replies disqus share sharing social related recommended pagination pager skip".split()
 )
+# elements that may be template inside an article
+SECTIONS = frozenset("div section nav aside footer form menu".split())
 # elements that end an open paragraph
 _ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
@@ -79,7 +84,8 @@ def _hidden(tag: str, attrs: str, in_article: bool) -> bool:
 class _Page:
     """Blocks of text of one page and the hashes of the subtrees they lie in."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, host: str | None = None):
+        self.host = host
         self.parent, self.tags, self.hidden, self.article = [-1], ["#"], [False], [False]
         self.digest = [xxhash.xxh64()]
         self.open = [0]
@@ -114,14 +120,12 @@ class _Page:
         node = self.open[-1]
         if not text.isspace():
             self.digest[node].update(_SPACE.sub(" ", text).strip().encode("utf-8", "surrogatepass"))
-        if self.hidden[node]:
-            return
         if self.fresh or not self.blocks:
             if text.isspace():
                 return
             self.blocks.append((self._block_of(node), []))
             self.fresh = False
-        self.blocks[-1][1].append(text)
+        self.blocks[-1][1].append((node, text))
 
     def _block_of(self, node: int) -> int:
         while self.tags[node] in INLINE and self.parent[node] >= 0:
@@ -178,34 +182,32 @@ class _Page:
             self.fresh = True
         self.digest[self.parent[node]].update(self.digest[node].digest())
 
-    def result(self) -> list[tuple[str, list[int]]]:
-        """(text, hashes of the subtrees that may be template) for each block of the main part."""
-        main = any(self.article[node] for node, _ in self.blocks)
+    def result(self) -> list[tuple[str | None, bool, list[int]]]:
+        """(text, whether it lies in an article, hashes of the subtrees that may be template) for each block; the text is null where marks hide it."""
         found = []
         for node, pieces in self.blocks:
-            if main and not self.article[node]:
-                continue
-            text = _SPACE.sub(" ", "".join(pieces)).strip()
-            if not text:
-                continue
-            hashes = []
-            while node > 0:
-                tag = self.tags[node]
-                # in an article, paragraphs and headings are content; an article or body is never template as a whole
-                if tag in ("div", "section") or not (self.article[node] or tag in ("html", "body", "article", "main")):
-                    hashes.append(self.digest[node].intdigest() - (1 << 63))
-                node = self.parent[node]
-            found.append((text, hashes))
+            text = _SPACE.sub(" ", "".join(t for at, t in pieces if not self.hidden[at])).strip() or None
+            found.append((text, self.article[node], self._hashes(node)))
         return found
 
+    def _hashes(self, node: int) -> list[int]:
+        """Hashes, by host, of the subtrees around a block; in an article, paragraphs and headings are content, and an article or body is never template as a whole."""
+        hashes = []
+        while node > 0 and self.host is not None:
+            tag = self.tags[node]
+            if tag in SECTIONS or not (self.article[node] or tag in ("html", "body", "article", "main")):
+                hashes.append(xxhash.xxh64_intdigest(self.host.encode("utf-8", "surrogatepass") + self.digest[node].digest()) - (1 << 63))
+            node = self.parent[node]
+        return hashes
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = pa.struct([("text", pa.string()), ("hashes", pa.list_(pa.int64()))])
+    block = pa.struct([("text", pa.string()), ("article", pa.bool_()), ("hashes", pa.list_(pa.int64()))])
     for batch in batches:
         for start in range(0, batch.num_rows, 64):
             part = batch.slice(start, 64)
-            pages = [[{"text": t, "hashes": h} for t, h in _Page(x).result()] if x else [] for x in part.column(3).to_pylist()]
+            given = zip(part.column(2).to_pylist(), part.column(3).to_pylist())
+            pages = [[{"text": t, "article": a, "hashes": h} for t, a, h in _Page(x, host).result()] if x else [] for host, x in given]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), pa.array(pages, pa.list_(block))], names=["id", "url", "host", "blocks"]
             )
@@ -230,7 +232,7 @@ def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column:
     scratch = Scratch(spark, "site-templates")
     given = pages.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), host_of(F.col(url_column)).alias("host"), F.col(html_column).alias("html"))
     kind = given.schema["id"].dataType.simpleString()
-    parsed = given.mapInArrow(_parse, f"id {kind}, url string, host string, blocks array<struct<text:string,hashes:array<bigint>>>")
+    parsed = given.mapInArrow(_parse, f"id {kind}, url string, host string, blocks array<struct<text:string,article:boolean,hashes:array<bigint>>>")
     # rows are numbered in the table that all later steps read
     parsed = scratch.save(parsed.withColumn("row", F.monotonically_increasing_id()), "parsed")
     sizes = parsed.filter("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
@@ -238,13 +240,17 @@ def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column:
     hashes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["hashes"])))
     each = parsed.filter("host is not null").select("row", "host", F.explode(hashes).alias("hash"))
     counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("on")).filter(F.col("on") >= TEMPLATE_PAGES)
-    templates = counts.join(small(sizes, n_hosts["n"], 64), "host").filter(F.col("on") >= TEMPLATE_SHARE * F.col("pages")).select("host", "hash")
+    templates = counts.join(small(sizes, n_hosts["n"], 64), "host").filter(F.col("on") >= TEMPLATE_SHARE * F.col("pages")).select("hash")
     templates, seen = scratch.save_counted(templates, "templates")
-    marked = parsed
+    marked, template = parsed, F.lit(None).cast("array<bigint>")
     if seen["n"]:
-        marks = each.join(small(templates, seen["n"], 64), ["host", "hash"]).groupBy("row").agg(F.collect_list("hash").alias("template"))
-        marked = parsed.join(marks, "row", "left")
-        kept = F.filter("blocks", lambda b: F.col("template").isNull() | ~F.arrays_overlap(b["hashes"], F.col("template")))
-        marked = marked.withColumn("blocks", kept)
+        # hashes hold the host
+        marks = each.select("row", "hash").join(small(templates, seen["n"], 32), "hash").groupBy("row").agg(F.collect_list("hash").alias("template"))
+        marked, template = parsed.join(marks, "row", "left"), F.col("template")
+    left = F.filter("blocks", lambda b: b["text"].isNotNull() & (template.isNull() | ~F.arrays_overlap(b["hashes"], template)))
+    # a column of its own, evaluated once
+    marked = marked.withColumn("blocks", F.explode(F.array(left)))
+    main = F.exists("blocks", lambda b: b["article"])
+    marked = marked.withColumn("blocks", F.filter("blocks", lambda b: ~main | b["article"]))
     text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
     return marked.select(F.col("id").alias(id_column), F.col("url").alias(url_column), text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

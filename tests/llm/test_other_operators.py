@@ -310,6 +310,23 @@ def test_pages(spark):
     assert site_templates.extract_main_text(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
 
+def _main_texts(spark, pages):
+    rows = [(i, url, source) for i, (url, source) in enumerate(pages)]
+    return [r.text for r in site_templates.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_pages_whole_page_counts(spark):
+    """Subtrees count wherever they stand, and templates go before the article rule."""
+    # teasers in articles recur in changing pairs; the text of the page stands outside of them
+    teasers = [f"<article><div>teaser {k}</div></article>" for k in range(3)]
+    pages = [("http://a.b/", f"<body>{teasers[i % 3]}{teasers[(i + 1 + i // 3 % 2) % 3]}<div><p>own text {i}</p></div></body>") for i in range(12)]
+    assert _main_texts(spark, pages) == [f"own text {i}" for i in range(12)]
+    # a box outside of articles, and one that marks itself, are template on pages that have no article
+    for box in ("<div>Site name</div>", "<div class='menu'>Site name</div>"):
+        pages = [("http://a.b/", f"{box}<article><p>text {i}</p></article>") for i in range(8)] + [("http://a.b/", f"<div>Site name</div><p>plain {i}</p>") for i in range(2)]
+        assert _main_texts(spark, pages) == [*[f"text {i}" for i in range(8)], "plain 0", "plain 1"]
+
+
 def test_pages_never_break():
     draw = random.Random(3)
     bits = ["<p>", "</p>", "<div class='ad'", "<", ">", "</", "<script>", "</script", "text ", "&amp", "<!--", "-->", "<b>", "</b>", "<li>", "<td>", "é", "\x00", "<article>", "</article>", '"', "<a href=\"x>y\">"]
