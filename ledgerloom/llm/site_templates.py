@@ -5,7 +5,8 @@ tags and texts, on the whole page: menus, adverts, footers and wrappers too, als
 where they mark themselves. Three rules then remove text, in this order:
 
 1. Recurrence. Spark counts on how many pages of a host each hash occurs; subtrees
-   that recur on many pages of their host are its template and are deleted. Inside
+   that recur on many pages of their host are its template and are deleted. Pages
+   with the same main text count once, so copies never make it a template. Inside
    an article or main element only enclosing sections count as template; paragraphs
    and headings there are kept however often other pages repeat them.
 2. Marks. What marks itself as no main text by its tag, role or class - menus, page
@@ -27,8 +28,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import Scratch, small
 
-# a subtree is template if it occurs on this many pages of the host and on this share of them
-TEMPLATE_PAGES, TEMPLATE_SHARE = 4, 0.3
+# a subtree is template if it occurs on this many pages of the host, and on this share of them or on many pages
+TEMPLATE_PAGES, TEMPLATE_SHARE, MANY_PAGES = 4, 0.3, 20
 
 # fixed values: element names of the HTML standard, and customary names of page parts
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -201,15 +202,24 @@ class _Page:
         return hashes
 
 
+def _main_digest(blocks: list[tuple[str | None, bool, list[int]]]) -> int:
+    """A hash of the visible text of a page's articles, or of the page where they have none."""
+    shown = [(text, article) for text, article, _ in blocks if text]
+    main = any(article for _, article in shown)
+    return xxhash.xxh64_intdigest("\n".join(text for text, article in shown if article or not main).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = pa.struct([("text", pa.string()), ("article", pa.bool_()), ("hashes", pa.list_(pa.int64()))])
     for batch in batches:
         for start in range(0, batch.num_rows, 64):
             part = batch.slice(start, 64)
             given = zip(part.column(2).to_pylist(), part.column(3).to_pylist())
-            pages = [[{"text": t, "article": a, "hashes": h} for t, a, h in _Page(x, host).result()] if x else [] for host, x in given]
+            found = [_Page(x, host).result() if x else [] for host, x in given]
+            pages = [[{"text": t, "article": a, "hashes": h} for t, a, h in blocks] for blocks in found]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), part.column(2), pa.array(pages, pa.list_(block))], names=["id", "url", "host", "blocks"]
+                [part.column(0), part.column(1), part.column(2), pa.array(map(_main_digest, found), pa.int64()), pa.array(pages, pa.list_(block))],
+                names=["id", "url", "host", "content", "blocks"],
             )
 
 
@@ -232,19 +242,22 @@ def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column:
     scratch = Scratch(spark, "site-templates")
     given = pages.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), host_of(F.col(url_column)).alias("host"), F.col(html_column).alias("html"))
     kind = given.schema["id"].dataType.simpleString()
-    parsed = given.mapInArrow(_parse, f"id {kind}, url string, host string, blocks array<struct<text:string,article:boolean,hashes:array<bigint>>>")
+    parsed = given.mapInArrow(_parse, f"id {kind}, url string, host string, content bigint, blocks array<struct<text:string,article:boolean,hashes:array<bigint>>>")
     # rows are numbered in the table that all later steps read
     parsed = scratch.save(parsed.withColumn("row", F.monotonically_increasing_id()), "parsed")
-    sizes = parsed.filter("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    # pages of equal content count once
+    sizes = parsed.filter("host is not null").select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     sizes, n_hosts = scratch.save_counted(sizes.filter(F.col("pages") >= TEMPLATE_PAGES), "hosts")
+    # hashes hold the host
     hashes = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["hashes"])))
-    each = parsed.filter("host is not null").select("row", "host", F.explode(hashes).alias("hash"))
-    counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("on")).filter(F.col("on") >= TEMPLATE_PAGES)
-    templates = counts.join(small(sizes, n_hosts["n"], 64), "host").filter(F.col("on") >= TEMPLATE_SHARE * F.col("pages")).select("hash")
+    each = parsed.filter("host is not null").select("row", "host", "content", F.explode(hashes).alias("hash"))
+    counts = each.select("hash", "content", "host").groupBy("hash", "content").agg(F.min("host").alias("host"))
+    counts = counts.groupBy("hash").agg(F.count(F.lit(1)).alias("on"), F.min("host").alias("host")).filter(F.col("on") >= TEMPLATE_PAGES)
+    enough = F.least(TEMPLATE_SHARE * F.col("pages"), F.lit(MANY_PAGES))
+    templates = counts.join(small(sizes, n_hosts["n"], 64), "host").filter(F.col("on") >= enough).select("hash")
     templates, seen = scratch.save_counted(templates, "templates")
     marked, template = parsed, F.lit(None).cast("array<bigint>")
     if seen["n"]:
-        # hashes hold the host
         marks = each.select("row", "hash").join(small(templates, seen["n"], 32), "hash").groupBy("row").agg(F.collect_list("hash").alias("template"))
         marked, template = parsed.join(marks, "row", "left"), F.col("template")
     left = F.filter("blocks", lambda b: b["text"].isNotNull() & (template.isNull() | ~F.arrays_overlap(b["hashes"], template)))

@@ -327,6 +327,17 @@ def test_pages_whole_page_counts(spark):
         assert _main_texts(spark, pages) == [*[f"text {i}" for i in range(8)], "plain 0", "plain 1"]
 
 
+def test_pages_many_pages_and_copies(spark):
+    # a box on a small part of a large host's pages is template, a line on a few of them is not
+    pages = [("http://a.b/", f"{'<div>box</div>' if i < 25 else ''}{'<p>said again</p>' if 25 <= i < 35 else ''}<p>text {i}</p>") for i in range(120)]
+    assert _main_texts(spark, pages) == [f"said again\ntext {i}" if 25 <= i < 35 else f"text {i}" for i in range(120)]
+    # copies of a page, with a changing advert or without an article, are no template of their own
+    copies = [("http://c.d/", f"<div class='ad'>ad {i}</div><div>Site</div><article><div>copied</div></article>") for i in range(6)]
+    copies += [("http://e.f/", f"<nav>{i}</nav><div class='text'><section>copied as well</section></div>") for i in range(6)]
+    copies += [("http://c.d/", f"<div>Site</div><article><div>own {i}</div></article>") for i in range(5)]
+    assert _main_texts(spark, copies) == ["copied"] * 6 + ["copied as well"] * 6 + [f"own {i}" for i in range(5)]
+
+
 def test_pages_never_break():
     draw = random.Random(3)
     bits = ["<p>", "</p>", "<div class='ad'", "<", ">", "</", "<script>", "</script", "text ", "&amp", "<!--", "-->", "<b>", "</b>", "<li>", "<td>", "é", "\x00", "<article>", "</article>", '"', "<a href=\"x>y\">"]
