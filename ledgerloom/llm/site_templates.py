@@ -11,7 +11,9 @@ where they mark themselves. Three rules then remove text, in this order:
    and headings there are kept however often other pages repeat them.
 2. Marks. What marks itself as no main text by its tag, role or class - menus, page
    headers and footers, sidebars, notices, adverts, forms, scripts, reader comments -
-   is deleted: recurrence alone cannot remove what differs from page to page.
+   is deleted: recurrence alone cannot remove what differs from page to page. A
+   class or id never hides an element that contains an article or main element,
+   nor a notice inside one, and a paragraph there only as an advert.
 3. Main part. Where text is left in an article or main element, text outside of
    such elements is left out.
 """
@@ -22,11 +24,13 @@ import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import Scratch, small
+from .common import BROADCAST_BYTES, Scratch, small
 
 # a subtree is template if it occurs on this many pages of the host, and on this share of them or on many pages
 TEMPLATE_PAGES, TEMPLATE_SHARE, MANY_PAGES = 4, 0.3, 20
@@ -48,6 +52,21 @@ HIDDEN_NAMES = frozenset(
     "alert popup modal overlay newsletter subscribe signup sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead "
     "comment comments respond replies disqus share sharing social related recommended pagination pager skip".split()
 )
+# customary parts of compound names around these: after one ("ad-slot", "related-posts"), and in front where they deny it ("no-sidebar")
+NAME_ENDS = frozenset(
+    "area bar block body box btn button buttons card column container content section slot unit widget wrap wrapper panel list links link item "
+    "items icons inner outer form header title text message dialog overlay popup window posts articles stories left right top bottom primary "
+    "secondary main mobile desktop sticky fixed".split()
+)
+DENIED = frozenset("no non not without has have with is hide hides hidden off disable disabled enable enabled show shows".split())
+# names that by themselves hide no part of an article: callouts are text there
+CALLOUTS = frozenset("notice notification alert".split())
+# the names that hide paragraphs and the like inside an article; its containers go by all names
+ADVERTS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent gdpr newsletter subscribe signup share sharing "
+    "breadcrumb breadcrumbs pagination pager".split()
+)
+_BOXES = frozenset("div section ul ol dl table figure details span a center header".split())
 # elements that may be template inside an article
 SECTIONS = frozenset("div section nav aside footer form menu".split())
 # elements that end an open paragraph
@@ -68,18 +87,32 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _SPACE = re.compile(r"\s+")
 
 
-def _hidden(tag: str, attrs: str, in_article: bool) -> bool:
-    if tag in HIDDEN_TAGS or (tag == "header" and not in_article):
+def _marks(name: str, names: frozenset) -> bool:
+    """Whether a class or id is one of ``names``, ends in one, or is one followed by customary ends alone."""
+    if name in names:
         return True
-    if not attrs or attrs.isspace():
+    parts = [p for p in re.split(r"[-_]+", name) if p]
+    if len(parts) < 2 or DENIED.intersection(parts):
         return False
+    return parts[-1] in names or (parts[0] in names and all(p in NAME_ENDS or p in names or p.isdigit() for p in parts[1:]))
+
+
+def _hidden(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is hidden by its tag or attributes, and whether by its class or id."""
+    if tag in HIDDEN_TAGS or (tag == "header" and not in_article):
+        return True, False
+    if not attrs or attrs.isspace():
+        return False, False
     found = {m[0].lower(): html.unescape(m[1] or m[2] or m[3]).lower() for m in _ATTR.findall(attrs)}
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "") in HIDDEN_ROLES:
-        return True
+        return True, False
     if tag in ("html", "body", "article", "main"):
-        return False
-    names = f"{found.get('class', '')} {found.get('id', '')}".split()
-    return any(n in HIDDEN_NAMES or HIDDEN_NAMES.intersection(re.split(r"[-_]", n)) for n in names)
+        return False, False
+    names = ADVERTS if in_article and tag not in _BOXES else HIDDEN_NAMES
+    own = [n for n in f"{found.get('class', '')} {found.get('id', '')}".split() if _marks(n, names)]
+    if in_article:
+        own = [n for n in own if (HIDDEN_NAMES - CALLOUTS).intersection(re.split(r"[-_]+", n))]
+    return False, bool(own)
 
 
 class _Page:
@@ -88,6 +121,7 @@ class _Page:
     def __init__(self, source: str, host: str | None = None):
         self.host = host
         self.parent, self.tags, self.hidden, self.article = [-1], ["#"], [False], [False]
+        self.named, self.around = [False], [False]  # hidden by name unless around an article
         self.digest = [xxhash.xxh64()]
         self.open = [0]
         self.blocks: list[tuple[int, list[str]]] = []
@@ -113,6 +147,9 @@ class _Page:
                     at = end.end()
         while len(self.open) > 1:
             self._pop()
+        # parents come before their children
+        for node in range(1, len(self.tags)):
+            self.hidden[node] |= self.hidden[self.parent[node]] or (self.named[node] and not self.around[node])
 
     def _text(self, text: str) -> None:
         if not text:
@@ -149,7 +186,13 @@ class _Page:
         self.tags.append(tag)
         inside = self.article[up]
         self.article.append(inside or tag in ("article", "main"))
-        self.hidden.append(self.hidden[up] or _hidden(tag, attrs, inside))
+        hidden, named = _hidden(tag, attrs, inside)
+        self.hidden.append(hidden)
+        self.named.append(named)
+        self.around.append(False)
+        if tag in ("article", "main"):
+            for node in self.open:
+                self.around[node] = True
         self.digest.append(xxhash.xxh64(tag))
         self.open.append(len(self.tags) - 1)
 
@@ -223,6 +266,29 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _without_templates(templates: np.ndarray):
+    """Batches of (id, url, blocks) to (id, url, texts of the blocks that stay), for sorted template hashes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            text, article, hashes = batch.column(2).flatten().flatten()
+            own = hashes.flatten().to_numpy(zero_copy_only=False)
+            at = np.searchsorted(templates, own)
+            hit = templates[np.minimum(at, len(templates) - 1)] == own if len(templates) else np.zeros(len(own), bool)
+            block = np.repeat(np.arange(len(text)), pc.list_value_length(hashes).to_numpy(zero_copy_only=False))
+            left = text.is_valid().to_numpy(zero_copy_only=False) & (np.bincount(block[hit], minlength=len(text)) == 0)
+            article = article.to_numpy(zero_copy_only=False).astype(bool)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            main = np.bincount(row[left & article], minlength=len(sizes)) > 0
+            left &= article | ~main[row]
+            ends = np.concatenate(([0], np.cumsum(np.bincount(row[left], minlength=len(sizes)))))
+            texts = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), text.filter(pa.array(left)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], names=["id", "url", "texts"])
+
+    return rows
+
+
 def host_of(url: Column) -> Column:
     """The host of a URL in lower case, without a port; null where there is none."""
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -256,14 +322,18 @@ def extract_main_text(pages: DataFrame, id_column: str = "page_id", url_column:
     enough = F.least(TEMPLATE_SHARE * F.col("pages"), F.lit(MANY_PAGES))
     templates = counts.join(small(sizes, n_hosts["n"], 64), "host").filter(F.col("on") >= enough).select("hash")
     templates, seen = scratch.save_counted(templates, "templates")
-    marked, template = parsed, F.lit(None).cast("array<bigint>")
-    if seen["n"]:
-        marks = each.select("row", "hash").join(small(templates, seen["n"], 32), "hash").groupBy("row").agg(F.collect_list("hash").alias("template"))
-        marked, template = parsed.join(marks, "row", "left"), F.col("template")
-    left = F.filter("blocks", lambda b: b["text"].isNotNull() & (template.isNull() | ~F.arrays_overlap(b["hashes"], template)))
-    # a column of its own, evaluated once
-    marked = marked.withColumn("blocks", F.explode(F.array(left)))
-    main = F.exists("blocks", lambda b: b["article"])
-    marked = marked.withColumn("blocks", F.filter("blocks", lambda b: ~main | b["article"]))
-    text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
+    # hashes of few templates travel to the pages, else their marks are joined with them
+    if 32 * seen["n"] <= BROADCAST_BYTES:
+        hashes = np.array(sorted(r["hash"] for r in templates.collect()), np.int64)
+        marked = parsed.select("id", "url", "blocks").mapInArrow(_without_templates(hashes), f"id {kind}, url string, texts array<string>")
+    else:
+        marks = each.select("row", "hash").join(templates, "hash").groupBy("row").agg(F.collect_list("hash").alias("template"))
+        marked = parsed.join(marks, "row", "left")
+        plain = F.col("template").isNull()
+        left = F.filter("blocks", lambda b: b["text"].isNotNull() & (plain | ~F.arrays_overlap(b["hashes"], F.col("template"))))
+        # a column of its own, evaluated once
+        marked = marked.withColumn("blocks", F.explode(F.array(left)))
+        main = F.exists("blocks", lambda b: b["article"])
+        marked = marked.withColumn("texts", F.transform(F.filter("blocks", lambda b: ~main | b["article"]), lambda b: b["text"]))
+    text = F.array_join("texts", "\n")
     return marked.select(F.col("id").alias(id_column), F.col("url").alias(url_column), text.alias("text")).withColumn("n_chars", F.length("text").cast("bigint"))

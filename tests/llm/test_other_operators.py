@@ -315,8 +315,10 @@ def _main_texts(spark, pages):
     return [r.text for r in site_templates.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).orderBy("page_id").collect()]
 
 
-def test_pages_whole_page_counts(spark):
+@pytest.mark.parametrize("bound", [site_templates.BROADCAST_BYTES, 0])
+def test_pages_whole_page_counts(spark, monkeypatch, bound):
     """Subtrees count wherever they stand, and templates go before the article rule."""
+    monkeypatch.setattr(site_templates, "BROADCAST_BYTES", bound)
     # teasers in articles recur in changing pairs; the text of the page stands outside of them
     teasers = [f"<article><div>teaser {k}</div></article>" for k in range(3)]
     pages = [("http://a.b/", f"<body>{teasers[i % 3]}{teasers[(i + 1 + i // 3 % 2) % 3]}<div><p>own text {i}</p></div></body>") for i in range(12)]
@@ -338,6 +340,20 @@ def test_pages_many_pages_and_copies(spark):
     assert _main_texts(spark, copies) == ["copied"] * 6 + ["copied as well"] * 6 + [f"own {i}" for i in range(5)]
 
 
+def test_pages_names():
+    """Names hide by whole names and customary compounds, and never what holds the main text."""
+    shown = lambda source: [text for text, _, _ in site_templates._Page(source).result() if text]
+    for name in ("layout no-sidebar", "has-sidebar", "with-menu", "page-notification-bar-off", "sidebar", "content sidebar-left"):
+        assert shown(f"<div class='{name}'><p>a</p><article><p>b</p></article></div>")[-1] == "b", name
+        assert shown(f"<body class='{name}'><div id='{name}'><main>b</main></div></body>") == ["b"], name
+    for name in ("no-sidebar", "has-menu", "related-work", "page-notification-bar-off", "skip-logic", "banner-history"):
+        assert shown(f"<div class='{name}'>b</div>") == ["b"], name
+    for name in ("ad", "ad-slot", "cookie-notice", "left_sidebar", "sidebar-left", "related-posts", "nav-links", "share-buttons", "ad_slot_3", "x footer"):
+        assert shown(f"<div class='{name}'>a</div><article><div class='{name}'>a</div>b</article>") == ["b"], name
+    assert shown("<article><p class='notice'>a</p><div class='alert'>b</div><div class='related-work'>c</div><p class='comment'>d</p><p class='ad'>e</p></article>") == ["a", "b", "c", "d"]
+    assert shown("<nav><article>a</article></nav><aside><p>a</p></aside><div hidden><article>a</article></div>b <span class='share'>a</span> c") == ["b c"]
+
+
 def test_pages_never_break():
     draw = random.Random(3)
     bits = ["<p>", "</p>", "<div class='ad'", "<", ">", "</", "<script>", "</script", "text ", "&amp", "<!--", "-->", "<b>", "</b>", "<li>", "<td>", "é", "\x00", "<article>", "</article>", '"', "<a href=\"x>y\">"]
