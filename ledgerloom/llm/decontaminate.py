@@ -11,8 +11,10 @@ blocks; for a passage, the largest impacts inside a block are summed, and a bloc
 whose sum plus the most its closed lists can add stays below the threshold is
 skipped. The items of the blocks left are scored in full.
 
-An item that is retrieved is verified: the passage must hold 80 % of the
-five-word runs of its question, and of its answer (the item's last sentence).
+An item that is retrieved is verified: 80 % of its words must lie in five-word runs
+that the passage holds, and near these the passage must hold 80 % of the words of
+its question, and of its answer (the item's last sentence). A run that crosses an
+edit is lost, but not the words around it that lie in other runs.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ THRESHOLD = 0.6
 CLOSED = 0.35
 # items per block of the index
 BLOCK = 8
-# least share of the question's and the answer's runs of words that the passage holds
+# words of a run; least share of the item's words in runs that the passage holds, and of the question's and the answer's words
 SHINGLE, OVERLAP = 5, 0.8
 # bytes of test items that one index holds; more items take further indexes, one after the other
 INDEX_BYTES = 8 << 20
@@ -57,6 +59,27 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:])
 
 
+def overlaps(words: np.ndarray, asked: int, held: np.ndarray) -> tuple[float, float, float]:
+    """Shares of an item's words in runs that ``held`` holds, and of its question's (``asked`` words) and answer's words near these runs."""
+    size = min(SHINGLE, len(words))
+    own, runs = textkit.shingle_hashes(words, size), textkit.shingle_hashes(held, size)
+    order = np.argsort(runs, kind="stable")
+    low, high = (np.searchsorted(runs[order], own, side=s) for s in ("left", "right"))
+    n = high - low
+    if not n.any():
+        return 0.0, 0.0, 0.0
+    covered = np.zeros(len(words), bool)
+    for k in range(size):
+        covered[np.flatnonzero(n) + k] = True
+    # the place of the item in the passage that most runs agree on, and a little around it for words put in or left out
+    at = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
+    places, agree = np.unique(at - np.repeat(np.arange(len(own)), n), return_counts=True)
+    place, slack = int(places[agree.argmax()]), max(SHINGLE, len(words) // 5)
+    near = held[max(0, place - slack) : place + len(words) + slack]
+    parts = (np.unique(part) for part in (words[:asked], words[asked:]))
+    return float(covered.mean()), *[float(np.isin(part, near).mean()) if len(part) else 1.0 for part in parts]
+
+
 def _terms(texts: list[str]) -> list[np.ndarray]:
     words = textkit.Words(pa.array(texts, pa.large_string()), between=textkit.MARKS)
     hashes = words.hashes()
@@ -89,7 +112,7 @@ class Index:
     """An inverted index of test items, small enough to travel with each task."""
 
     items: list
-    runs: list  # of each item: (words of a run, runs) of its question and of its answer
+    words: list  # of each item: its words, and the number of them in its question
     half: int  # words of half a passage
     vocabulary: np.ndarray  # sorted term hashes
     known: np.ndarray  # by the low bits of a hash: some term has them
@@ -125,10 +148,9 @@ class Index:
         known = np.zeros(_KNOWN, bool)
         known[(vocabulary & np.uint64(_KNOWN - 1)).astype(np.int64)] = True
         parts = zip(*map(question_and_answer, texts))
-        # (words of a run, distinct runs) of question and answer
-        runs = list(zip(*[[(min(SHINGLE, len(x)), np.unique(textkit.shingle_hashes(x, SHINGLE))) for x in _terms(list(part))] for part in parts]))
+        words = [(np.concatenate(both), len(both[0])) for both in zip(*[_terms(list(part)) for part in parts])]
         half = max(PASSAGE // 2, max((len(t) for t in terms), default=0))
-        return cls(items, runs, half, vocabulary, known, impact, open_.any(axis=1), Postings.of(open_), Postings.of(block_max), closed_sum, rest)
+        return cls(items, words, half, vocabulary, known, impact, open_.any(axis=1), Postings.of(open_), Postings.of(block_max), closed_sum, rest)
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, terms) of the words that the vocabulary holds."""
@@ -188,9 +210,9 @@ class Index:
             for d, passage, i, score in self.retrieve(hashes, bounds):
                 begin = bounds[d] + passage * self.half
                 held = hashes[begin : min(begin + 2 * self.half, bounds[d + 1])]
-                shares = [float(np.isin(runs, textkit.shingle_hashes(held, size)).mean()) if size else 1.0 for size, runs in self.runs[i]]
+                shares = overlaps(*self.words[i], held)
                 if min(shares) >= OVERLAP and best.get((d, i), (0.0,))[0] < score:
-                    best[d, i] = (score, *shares)
+                    best[d, i] = (score, *shares[1:])
             for (d, i), figures in sorted(best.items()):
                 yield start + d, i, *figures
 

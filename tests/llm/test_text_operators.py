@@ -139,6 +139,19 @@ def test_decontaminate(spark):
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(table, items).collect()) == [3, 4, 5, 6, 7]
 
 
+def test_decontaminate_edited(spark):
+    """One changed word in the question or the answer hides no item; another answer is no leak."""
+    question, answer = "Which of the many rivers that rise in the northern hills runs through the old town of Quarn before the sea?".split(), "Only the Selmo does so today.".split()
+    item, filler = question + answer, " ".join(f"f{i}" for i in range(100))
+    edited = [[*item[:k], "other", *item[k + 1 :]] for k in range(len(item))] + [item[:8] + ["so", "called"] + item[8:]]
+    docs = [(k, f"{filler} {' '.join(words)} {filler}") for k, words in enumerate(edited)]
+    docs += [(100, f"{filler} {' '.join(question)} Nobody in the whole land knows. {filler} the Selmo does so only today"), (101, f"{filler} {' '.join(answer)} {filler}")]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()
+    assert sorted(r.doc_id for r in found) == list(range(len(edited)))
+    assert all(min(r.question_overlap, r.answer_overlap) >= 0.8 for r in found)
+
+
 def test_retrieval_is_exact():
     """Pruning by open lists and block maxima loses no item at or above the threshold."""
     draw = random.Random(2)
