@@ -39,8 +39,12 @@ CLOSED = 0.35
 BLOCK = 8
 # words of a run; least share of the item's words in runs that the passage holds, and of the question's and the answer's words
 SHINGLE, OVERLAP = 5, 0.8
-# bytes of test items that one index holds; more items take further indexes, one after the other
-INDEX_BYTES = 8 << 20
+# bytes of one built index, its vocabulary's bits aside; more items take further indexes, one after the other
+INDEX_BYTES = 32 << 20
+# bytes that a word of an item takes in an index at most: itself, its term, and an entry by term, by item, in an open list and in a block
+WORD_BYTES = 8 + 16 + 4 * 12
+# bytes that an item takes besides
+ITEM_BYTES = 512
 # least passage length; passages overlap by half, and a half holds any item of the index
 PASSAGE = 128
 
@@ -88,16 +92,26 @@ def _terms(texts: list[str]) -> list[np.ndarray]:
 
 @dataclass
 class Postings:
-    """The non-zero entries of a matrix by row."""
+    """The entries of a sparse matrix by row."""
 
     starts: np.ndarray
     columns: np.ndarray
     values: np.ndarray
 
     @classmethod
-    def of(cls, matrix: np.ndarray) -> Postings:
-        rows, columns = np.nonzero(matrix)
-        return cls(np.searchsorted(rows, np.arange(len(matrix) + 1)), columns, matrix[rows, columns])
+    def of(cls, n: int, rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> Postings:
+        """The entries of ``n`` rows, by row and column."""
+        order = np.lexsort((columns, rows))
+        return cls(np.searchsorted(rows[order], np.arange(n + 1)), columns[order].astype(np.int32), values[order])
+
+    def row(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(columns, values) of one row."""
+        at = slice(self.starts[k], self.starts[k + 1])
+        return self.columns[at], self.values[at]
+
+    @property
+    def nbytes(self) -> int:
+        return self.starts.nbytes + self.columns.nbytes + self.values.nbytes
 
     def expand(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in ``rows``, column, value) for all entries of these rows."""
@@ -116,7 +130,7 @@ class Index:
     half: int  # words of half a passage
     vocabulary: np.ndarray  # sorted term hashes
     known: np.ndarray  # by the low bits of a hash: some term has them
-    impact: np.ndarray  # (term, item) share of the item's own score
+    impacts: Postings  # the terms of each item, with their shares of the item's own score
     essential: np.ndarray  # terms with an open list
     lists: Postings  # open lists: the items of each term, with their impacts
     blocks: Postings  # the blocks of each open list, with their largest impacts
@@ -127,30 +141,51 @@ class Index:
     def build(cls, items: list, texts: list[str], df: dict[int, int], total: int, mean_length: float) -> Index:
         terms = _terms(texts)
         vocabulary = np.unique(np.concatenate(terms)) if terms else np.empty(0, np.uint64)
-        impact = np.zeros((len(vocabulary), len(items)))
         counts = np.array([df[int(t)] for t in vocabulary.view(np.int64)])
         idf = np.log(1 + (total - counts + 0.5) / (counts + 0.5))
+        # entries (term, item), item by item
+        entries = []
+        closed_sum = np.zeros(len(items))
         for i, own in enumerate(terms):
             at, tf = np.unique(np.searchsorted(vocabulary, own), return_counts=True)
             weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / mean_length))
-            impact[at, i] = weight / max(weight.sum(), 1e-12)
-        # closed lists: the terms of least impact whose sum stays below the threshold
-        order = np.argsort(impact, axis=0, kind="stable")
-        sums = np.cumsum(np.take_along_axis(impact, order, axis=0), axis=0)
-        closed = np.zeros(impact.shape, bool)
-        np.put_along_axis(closed, order, sums < CLOSED, axis=0)
-        open_ = np.where(closed, 0.0, impact)
+            impact = weight / max(weight.sum(), 1e-12)
+            # closed lists: the terms of least impact whose sum stays below the threshold
+            order = np.argsort(impact, kind="stable")
+            closed = np.zeros(len(at), bool)
+            closed[order] = np.cumsum(impact[order]) < CLOSED
+            closed_sum[i] = impact[closed].sum()
+            entries.append((at, np.full(len(at), i), impact, ~closed))
+        term, item, impact, open_ = (np.concatenate(x) for x in zip(*entries))
+        impacts = Postings.of(len(items), item, term, impact)
+        lists = Postings.of(len(vocabulary), term[open_], item[open_], impact[open_])
         blocks = -(-len(items) // BLOCK)
-        pad = blocks * BLOCK - len(items)
-        block_max = np.pad(open_, ((0, 0), (0, pad))).reshape(len(vocabulary), blocks, BLOCK).max(axis=2)
-        closed_sum = (impact * closed).sum(axis=0)
-        rest = np.pad(closed_sum, (0, pad)).reshape(blocks, BLOCK).max(axis=1)
+        pairs, inverse = np.unique(term[open_] * blocks + item[open_] // BLOCK, return_inverse=True)
+        most = np.zeros(len(pairs))
+        np.maximum.at(most, inverse, impact[open_])
+        block_max = Postings.of(len(vocabulary), pairs // blocks, pairs % blocks, most)
+        rest = np.pad(closed_sum, (0, blocks * BLOCK - len(items))).reshape(blocks, BLOCK).max(axis=1)
         known = np.zeros(_KNOWN, bool)
         known[(vocabulary & np.uint64(_KNOWN - 1)).astype(np.int64)] = True
         parts = zip(*map(question_and_answer, texts))
         words = [(np.concatenate(both), len(both[0])) for both in zip(*[_terms(list(part)) for part in parts])]
         half = max(PASSAGE // 2, max((len(t) for t in terms), default=0))
-        return cls(items, words, half, vocabulary, known, impact, open_.any(axis=1), Postings.of(open_), Postings.of(block_max), closed_sum, rest)
+        return cls(items, words, half, vocabulary, known, impacts, np.diff(lists.starts) > 0, lists, block_max, closed_sum, rest)
+
+    @property
+    def nbytes(self) -> int:
+        """Bytes of the arrays that grow with the items."""
+        own = sum(w.nbytes for w, _ in self.words) + sum(x.nbytes for x in (self.vocabulary, self.essential, self.closed, self.rest))
+        return own + sum(x.nbytes for x in (self.impacts, self.lists, self.blocks))
+
+    @property
+    def impact(self) -> np.ndarray:
+        """The dense (term, item) matrix, for a look at small indexes."""
+        dense = np.zeros((len(self.vocabulary), len(self.items)))
+        for i in range(len(self.items)):
+            at, values = self.impacts.row(i)
+            dense[at, i] = values
+        return dense
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, terms) of the words that the vocabulary holds."""
@@ -197,7 +232,8 @@ class Index:
             one, i = divmod(pair, len(self.items))
             d = int(np.searchsorted(first, one, side="right") - 1)
             own = np.unique(terms[np.searchsorted(placed, one) : np.searchsorted(placed, min(one + 2, first[d + 1]))])
-            score = float(self.impact[own, i].sum())
+            at, values = self.impacts.row(i)
+            score = float(values[np.isin(at, own)].sum())
             if score >= THRESHOLD - 1e-9:
                 yield d, int(one - first[d]), i, score
 
@@ -218,9 +254,8 @@ class Index:
 
 
 def _indexes(items: DataFrame) -> Iterator[Index]:
-    """Indexes of at most INDEX_BYTES of items each, with term statistics of all items."""
+    """Indexes of about INDEX_BYTES each, with term statistics of all items."""
     scratch = Scratch(items.sparkSession, "decontaminate")
-    text_bytes = F.sum(F.octet_length("text"))
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,14 +264,14 @@ def _indexes(items: DataFrame) -> Iterator[Index]:
 
     items = items.filter("text is not null")
     words = F.regexp_count("text", F.lit(r"[^\x00-\x2F:-@\[-`{-\x7F]+"))
-    items, seen = scratch.save_counted(items.withColumn("words", words).filter("words > 0"), "items", bytes=text_bytes, words=F.sum("words"))
+    items, seen = scratch.save_counted(items.withColumn("words", words).filter("words > 0"), "items", words=F.sum("words"))
     if not seen["n"]:
         return
     counts = scratch.save(items.select("text").mapInArrow(terms_of, "term bigint").groupBy("term").agg(F.count(F.lit(1)).alias("df")), "counts")
-    blocks = -(-seen["bytes"] // INDEX_BYTES)
+    blocks = -(-(WORD_BYTES * seen["words"] + ITEM_BYTES * seen["n"]) // INDEX_BYTES)
     block = F.pmod(F.xxhash64("item"), F.lit(blocks))
     for b in range(blocks):
-        # a stated part of the test items, bounded by INDEX_BYTES
+        # a stated part of the test items, whose index takes about INDEX_BYTES
         chosen = items.filter(block == b)
         rows = sorted((r["item"], r["text"]) for r in chosen.collect())
         own = chosen.select("text").mapInArrow(terms_of, "term bigint").distinct()

@@ -1,7 +1,9 @@
 """N-gram join, line deduplication, decontamination and the text kit against plain versions."""
 
 import random
+import tracemalloc
 
+import numpy as np
 import plain
 import pyarrow as pa
 import pytest
@@ -179,6 +181,31 @@ def test_retrieval_is_exact():
     assert all(index.impact[[r for r, h in enumerate(index.vocabulary.tolist()) if h in set(hashes[bounds[d] + p * index.half : min(bounds[d + 1], bounds[d] + (p + 2) * index.half)].tolist())], i].sum() >= decontaminate.THRESHOLD - 1e-9 for d, p, i in got)
 
 
+def test_index_grows_with_the_items():
+    """An index takes memory by the words of its items, not by terms times items."""
+    texts = [" ".join(f"t{(i * 41 + k * k) % 60_000}" for k in range(40)) for i in range(6000)]
+    terms = decontaminate._terms(texts)
+    hashes, counts = np.unique(np.concatenate([np.unique(t) for t in terms]), return_counts=True)
+    tracemalloc.start()
+    index = decontaminate.Index.build(list(range(6000)), texts, dict(zip(hashes.view(np.int64).tolist(), counts.tolist())), 6000, 40.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    n = sum(map(len, terms))
+    assert index.nbytes <= decontaminate.WORD_BYTES * n + decontaminate.ITEM_BYTES * 6000 and peak < 400 << 20
+    # every item is found in itself
+    for i in (0, 77, 5999):
+        assert (i, 1.0) in [(k, round(score, 9)) for _, _, k, score in index.retrieve(terms[i], np.array([0, len(terms[i])]))]
+
+
+def test_decontaminate_in_many_indexes(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 4000)
+    texts = [" ".join(f"w{i}x{k}" for k in range(12)) for i in range(20)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    assert len(list(decontaminate._indexes(items.withColumnRenamed("item_id", "item")))) > 3
+    docs = spark.createDataFrame([(i, f"before {t} after") for i, t in enumerate(texts)], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()) == [(i, i) for i in range(20)]
+
+
 def test_decontaminate_awkward(spark, awkward, empty):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert decontaminate.find_leaks(awkward, items).count() == 0
