@@ -234,6 +234,25 @@ def test_licenses(spark, awkward, empty):
     assert paths(awkward).count() == awkward.count() and paths(empty).count() == 0
 
 
+def test_all_licenses_of_a_file(spark):
+    """A file has the licences of all its segments, and neighbours of a licence are not taken for it."""
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    one = {
+        "Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        gnu.format("", 2): "GPL-2.0", gnu.format("", 3): "GPL-3.0", gnu.format("Lesser ", 3): "LGPL-3.0", gnu.format("Lesser ", 2.1): "LGPL-2.1",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted": "ISC",
+    }
+    files = [("d/LICENSE", f"{apache}\nwords between\n{mit}"), ("d/x.txt", "plain words"), ("d/e/own.txt", f"{mit}\nplain\n{gnu.format('', 2)}")]
+    files += [(f"o/{i}.txt", f"plain words\nof the file\n{line}\nand other words {i}") for i, line in enumerate(one)] + [(f"w/{i}", f"plain words of file {i}\nmore of the words") for i in range(40)]
+    table = spark.createDataFrame(files, "path string, text string")
+    got = {r.path: r.licenses for r in licenses.scan_licenses(table).collect()}
+    assert got["d/LICENSE"] == got["d/x.txt"] == ["Apache-2.0", "MIT"] and got["d/e/own.txt"] == ["GPL-2.0", "MIT"]
+    assert [got[f"o/{i}.txt"] for i in range(len(one))] == [[name] for name in one.values()]
+    mine = {r.path: r.licenses for r in licenses.scan_licenses(table, templates=[("House", "words between")]).collect()}
+    assert mine["d/LICENSE"] == mine["d/x.txt"] == ["House"] and mine["o/0.txt"] == []
+
+
 # ---- vectors
 
 
