@@ -7,8 +7,12 @@ of ``min_words`` words or more shares a fingerprint: a guarantee, with few
 fingerprints. Fingerprints found at one place only end the search for their
 windows. Where a fingerprint recurs, its windows are compared as a whole, and
 the lines of every window that occurred before are deleted; overlapping windows
-extend a match to both ends of the repeated run. All steps are groupings by a
-hash, so a line that a third of all documents share costs no more than others.
+extend a match over the repeated run. All steps are groupings by a hash, so a line
+that a third of all documents share costs no more than others.
+
+Windows are taken forward only, as the check statement takes them: the last lines
+of a repeated run stay where they alone hold fewer than ``min_words`` words and no
+matching window reaches them.
 """
 
 from __future__ import annotations
@@ -61,8 +65,8 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, min_words: int) -> DataFra
 def drop_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated runs of lines deleted from the text, and ``n_lines``, ``n_removed``.
 
-    A run of lines of ``min_words`` words or more that occurred before is deleted
-    where it comes later, in the order of id (null last), then line; between rows
+    A window, the shortest run of lines of ``min_words`` words from its first line
+    on, that occurred before is deleted where it comes later, in the order of id (null last), then line; between rows
     of one id, in the order of a hash of their texts. Lines are equal when all
     their characters are; lines without words are passed over when runs are
     compared, and go where they lie inside a deleted run. First occurrences stay.
