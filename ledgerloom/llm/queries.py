@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from . import chat, decontaminate, grid_join, licenses, line_dedup, mixing, ngram_join, quality, separators, site_templates
+from . import chat, decontaminate, grid_join, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, separators, site_templates, vector_codes
 from .common import WORD, Scratch
 
 
@@ -89,6 +89,26 @@ def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_templates.extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt to open with the first turns of one in twenty."""
+    turns = _table(spark, sf_dir, "conversations").filter("conv_id IS NOT NULL")
+    turns = turns.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", prefix_trie.turn_id(F.col("role"), F.col("text")).alias("id"))
+    order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "id")
+    turns = Scratch(spark, "rebuilt").save(turns.select("conv_id", "id", F.row_number().over(order).alias("no")), "turns")
+    members = turns.select("conv_id").distinct()
+    borrowed = lambda c: F.crc32(c.cast("string").cast("binary")) % 4
+    heads = turns.filter("conv_id % 20 = 0 AND no <= 3").select(F.col("conv_id").alias("donor"), "id", F.col("no").alias("turn"))
+    heirs = members.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 20).alias("donor"))
+    heads = heirs.join(heads, "donor").filter(F.col("turn") <= borrowed(F.col("conv_id"))).select("conv_id", "turn", "id")
+    own = turns.filter(F.col("no") > borrowed(F.col("conv_id"))).select("conv_id", F.col("no").alias("turn"), "id")
+    return prefix_trie.prefix_trie(heads.union(own), members)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as codes of eight parts, with their errors and the digest of the codebooks."""
+    return vector_codes.code_report(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -100,6 +120,8 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_grid_join": op9_grid_join,
     "op10_site_templates": op10_site_templates,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 SQL: dict[str, str] = {}
@@ -163,3 +185,82 @@ SELECT path, coalesce(own, names, '') AS licenses,
        CASE WHEN own IS NULL AND names IS NOT NULL THEN CASE WHEN opens THEN 0 ELSE 1 END END::INTEGER AS distance
 FROM owned LEFT JOIN declared USING (top)
 """
+
+SQL["op11_prefix_trie"] = r"""
+WITH RECURSIVE placed AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS no
+    FROM conversations WHERE conv_id IS NOT NULL
+), members AS (
+    -- CRC-32 by its rule: every byte is followed by eight shifts
+    SELECT conv_id, (xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END)))::BIGINT % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM placed)
+), rebuilt AS (
+    SELECT m.conv_id, p.no, p.role, p.text FROM members m JOIN placed p ON p.conv_id = m.conv_id - m.conv_id % 20 AND p.no <= m.h
+    UNION ALL SELECT m.conv_id, p.no, p.role, p.text FROM members m JOIN placed p ON p.conv_id = m.conv_id AND p.no > m.h
+), paths AS (
+    SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY no) AS path FROM rebuilt GROUP BY conv_id
+), whole AS (
+    SELECT m.conv_id, coalesce(path, []) AS path FROM members m LEFT JOIN paths p ON p.conv_id = m.conv_id
+), prefixes AS (
+    SELECT conv_id, unnest(generate_series(0, len(path))) AS depth, path FROM whole
+), spots AS (
+    SELECT conv_id, depth, md5(path[:depth]::VARCHAR) AS prefix, md5(path[:depth - 1]::VARCHAR) AS above, len(path) = depth AS ends,
+           CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS words
+    FROM prefixes
+), nodes AS (
+    SELECT depth, prefix, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS own,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM spots GROUP BY depth, prefix
+), hung AS (
+    SELECT c.*, p.conv_id AS parent_conv_id FROM nodes c LEFT JOIN nodes p ON p.depth = c.depth - 1 AND p.prefix = c.above
+), children AS (
+    SELECT depth - 1 AS depth, parent_conv_id AS conv_id, count(*) AS n_children FROM hung WHERE depth > 0 GROUP BY ALL
+), up AS (
+    SELECT depth, conv_id, depth AS of_depth, conv_id AS of_conv FROM nodes
+    UNION ALL SELECT h.depth - 1, h.parent_conv_id, u.of_depth, u.of_conv FROM up u JOIN hung h ON h.depth = u.depth AND h.conv_id = u.conv_id WHERE h.depth > 0
+), below AS (
+    SELECT u.depth, u.conv_id, sum(n.own) AS saved_tokens, count(*) FILTER (c.n_children IS NULL) AS n_leaves
+    FROM up u JOIN nodes n ON n.depth = u.of_depth AND n.conv_id = u.of_conv
+    LEFT JOIN children c ON c.depth = u.of_depth AND c.conv_id = u.of_conv GROUP BY u.depth, u.conv_id
+)
+SELECT h.conv_id, h.depth, h.parent_conv_id, n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM hung h JOIN below b ON b.depth = h.depth AND b.conv_id = h.conv_id
+LEFT JOIN children c ON c.depth = h.depth AND c.conv_id = h.conv_id
+"""
+
+
+def _codes_sql(rounds: int) -> str:
+    """Plain Lloyd steps: all distances of all parts in each round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+    SELECT c.vec_id, p, b.k, sum((c.x - b.x) * (c.x - b.x))::BIGINT AS error FROM cells c JOIN book{r} b USING (p, i) GROUP BY c.vec_id, p, b.k
+    QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY error, b.k) = 1
+)""")
+        if r < rounds:
+            steps.append(f"""
+book{r + 1} AS MATERIALIZED (
+    SELECT b.p, b.k, b.i, coalesce(m.x, b.x) AS x FROM book{r} b LEFT JOIN (
+        SELECT p, n.k, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x FROM cells JOIN near{r} n USING (vec_id, p) GROUP BY p, n.k, i
+    ) m USING (p, k, i)
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, embedding, len(embedding) // 8 AS width, row_number() OVER (ORDER BY vec_id) - 1 AS place FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cells AS MATERIALIZED (
+    SELECT vec_id, place, j // width AS p, j % width AS i, floor(4096 * embedding[j + 1]::DOUBLE)::BIGINT AS x
+    FROM (SELECT *, unnest(generate_series(0, len(embedding) - 1)) AS j FROM kept)
+), book0 AS MATERIALIZED (SELECT p, place AS k, i, x FROM cells WHERE place < 16),{",".join(steps)},
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', k), '' ORDER BY p) AS code, sum(error)::BIGINT AS error FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, k, i)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+SQL["op12_vector_codes"] = _codes_sql(6)
