@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from . import chat, decontaminate, grid_join, licenses, line_dedup, mixing, ngram_join, prefix_trie, quality, separators, site_templates, vector_codes
+from . import chat, decontaminate, grid_join, licenses, line_dedup, mixing, ngram_join, perplexity, prefix_trie, quality, separators, site_templates, vector_codes
 from .common import WORD, Scratch
 
 
@@ -109,6 +109,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_report(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and rules of all documents, and the verdict of the perplexity bands of their language."""
+    return perplexity.rate_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_chat": op2_chat,
@@ -122,6 +127,7 @@ QUERIES = {
     "op10_site_templates": op10_site_templates,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_vector_codes": op12_vector_codes,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 SQL: dict[str, str] = {}
