@@ -34,8 +34,8 @@ from . import textkit
 from .common import Scratch, small
 
 ORDER = 5
-# words of a block; n-grams of a shard of the model, about
-BLOCK_WORDS, SHARD = 2 << 20, 1 << 12
+# words of a block; documents taken into blocks at once; n-grams of a shard of the model, about
+BLOCK_WORDS, ROWS, SHARD = 2 << 20, 1000, 1 << 12
 FRACTION = 1 << 24
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 # a band reaches this many median deviations of its side, at least LEAST nats per character, from the median;
@@ -118,9 +118,8 @@ class _Block:
             pairs = order[starts]
             times = np.diff(np.concatenate((starts, [len(order)])))
             known, where = np.unique(hashes, return_index=True)
-            raw, cut = words.bytes.tobytes(), words.offsets
-            spelled = [raw[cut[i] : cut[i + 1]] for i in where]
-            self.parts.append((figures, told, self.n_docs + doc[pairs], hashes[pairs], times, known, spelled))
+            spelled = words.arrow().cast(pa.large_binary()).take(pa.array(where))
+            self.parts.append((figures, told, (self.n_docs + doc[pairs]).astype(np.int32), hashes[pairs], times.astype(np.int32), known, spelled))
             self.ids.append(ids.slice(first, len(part)))
             self.n_docs, self.n_words = self.n_docs + len(part), self.n_words + len(hashes)
 
@@ -128,7 +127,8 @@ class _Block:
         figures = [np.concatenate([p[0][i] for p in self.parts]) for i in range(len(FIGURES))]
         told = np.concatenate([p[1] for p in self.parts])
         doc, word, times, known = (np.concatenate([p[i] for p in self.parts]) for i in (2, 3, 4, 5))
-        spelled = [w for p in self.parts for w in p[6]]
+        spelled = pa.concat_arrays([p[6] for p in self.parts])
+        self.parts.clear()
         distinct, where = np.unique(known, return_index=True)
         place = np.searchsorted(distinct, word)
         # frequent words get small numbers
@@ -141,7 +141,7 @@ class _Block:
         step = np.diff(place, prepend=0)
         first = np.concatenate(([True], doc[1:] != doc[:-1]))[: len(doc)]
         step[first] = place[first]
-        vocabulary = b"\n".join(spelled[i] for i in where[by_count])
+        vocabulary = b"\n".join(spelled.take(pa.array(where[by_count])).to_pylist())
         ids = pa.concat_arrays(self.ids)
         one = lambda values: pa.array([values])
         columns = [
@@ -156,7 +156,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of ``_shape``: blocks of one language each."""
     open_: dict[str, _Block] = {}
     shape = None
-    for batch in batches:
+    for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
         ids, langs, texts = batch.columns
         shape = shape or _arrow_shape(ids.type)
         for lang in langs.unique().to_pylist():
@@ -201,8 +201,10 @@ class _Read:
         vocabulary = pa.decompress(row["vocabulary"], row["vocabulary_bytes"], "zstd", asbytes=True)
         # white space is no part of a word: four spaces open one, a line feed ends it
         marked = (b" " * (ORDER - 1) + vocabulary.replace(b"\n", b"\n" + b" " * (ORDER - 1)) + b"\n") if n else b""
+        del vocabulary
         self.points = np.frombuffer(marked.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        self.ends = np.flatnonzero(self.points != 32)
+        del marked
+        self.ends = np.flatnonzero(self.points != 32).astype(np.int32)
         self.word_starts = np.concatenate(([0], np.flatnonzero(self.points[self.ends] == 10)[:-1] + 1)) if n else np.empty(0, np.int64)
         key = int.from_bytes(hashlib.blake2b(row["lang"].encode(), digest_size=8).digest(), "little")
         hashes = np.full(len(self.ends), key, np.uint64)
@@ -210,7 +212,12 @@ class _Read:
             for i in range(ORDER):
                 hashes = textkit.mix(hashes * _STEP + self.points[self.ends - (ORDER - 1) + i])
         # distinct hashes in order, a place of each, and the number of each predicted character's n-gram
-        self.hashes, self.places, self.gram = np.unique(hashes, return_index=True, return_inverse=True)
+        order = np.argsort(hashes, kind="stable").astype(np.int32)
+        hashes = hashes[order]
+        first = np.concatenate(([True], hashes[1:] != hashes[:-1]))[: len(hashes)]
+        self.hashes, self.places = hashes[first], order[first]
+        self.gram = np.empty(len(order), np.int32)
+        self.gram[order] = np.cumsum(first, dtype=np.int32) - 1
 
     def counts(self) -> np.ndarray:
         """How often the block's documents hold each n-gram."""
