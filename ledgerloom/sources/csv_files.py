@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import sha256_of
 from . import formats as f
-from .files import matches_pattern, number_file_rows, stamp, with_file_metadata, with_record_ids
+from .csv_records import read_lines, split_records, values_of
+from .files import matches_pattern, stamp, with_record_ids
 
 
 def hash_columns(df: DataFrame, entity: f.CsvEntity, columns: tuple | None = None) -> DataFrame:
@@ -30,6 +31,23 @@ def hash_payments(df: DataFrame, columns: tuple | None = None) -> DataFrame:
     return hash_columns(df, f.PAYMENTS, columns)
 
 
+def csv_rows(lines: DataFrame, entity: f.CsvEntity, fmt: f.CsvFormat, start_id: int = 0, series: int = 0) -> DataFrame:
+    """Landing rows, without hash and stamp, from text lines with file metadata.
+
+    ``_corrupt_record`` holds the record where it has more values than the layout,
+    or cannot be read; then all values are NULL. Records of fewer values end in NULLs.
+    """
+    records = split_records(lines, fmt.sep, fmt.header, lambda df: with_record_ids(df, start_id, series))
+    names = entity.raw_columns + entity.spare_columns
+    values = F.when(~F.col("unreadable"), values_of(F.col("value"), fmt.sep))
+    rows = records.withColumn("_values", values).select(
+        *[F.get("_values", F.lit(i)).alias(n) for i, n in enumerate(names)],
+        F.when(F.col("unreadable") | (F.size("_values") > len(names)), F.col("value")).alias(f.CORRUPT),
+        *[c for c in records.columns if c not in ("value", "unreadable")],
+    )
+    return f.apply_null_tokens(rows, names, fmt.null_tokens)
+
+
 def read_csv(
     spark: SparkSession,
     path,
@@ -41,23 +59,11 @@ def read_csv(
     pattern: str | None = None,
     start_id: int = 0,
 ) -> DataFrame:
-    """Landing rows of one entity.
-
-    ``_corrupt_record`` stays for ``csv_overflow``: a row of another length
-    than the layout is loaded all the same.
-    """
-    rows = (
-        spark.read.schema(entity.reader_schema())
-        .options(**fmt.options)
-        .option("recursiveFileLookup", "true")
-        .csv(path)
-    )
-    rows = with_file_metadata(rows)
+    """Landing rows of one entity; ``csv_overflow`` finds those that did not fit or could not be read."""
+    lines = read_lines(spark, path)
     if pattern:
-        rows = rows.filter(matches_pattern(F.col("source_file_path"), pattern))
-    rows = number_file_rows(with_record_ids(rows, start_id)).drop("_block_start")
-    rows = f.apply_null_tokens(rows, entity.raw_columns + entity.spare_columns, fmt.null_tokens)
-    return stamp(hash_columns(rows, entity), batch_id, as_of)
+        lines = lines.filter(matches_pattern(F.col("source_file_path"), pattern))
+    return stamp(hash_columns(csv_rows(lines, entity, fmt, start_id), entity), batch_id, as_of)
 
 
 def read_csv_customers(spark, path, batch_id, as_of, **kw) -> DataFrame:
@@ -76,7 +82,6 @@ def read_csv_payments(spark, path, batch_id, as_of, **kw) -> DataFrame:
     return read_csv(spark, path, f.PAYMENTS, batch_id, as_of, **kw)
 
 
-def csv_overflow(rows: DataFrame, entity: f.CsvEntity) -> DataFrame:
-    """Rows with more values than the layout has columns: their raw line would otherwise be lost."""
-    last = F.col(entity.spare_columns[-1])
-    return rows.filter(F.col(f.CORRUPT).isNotNull() & last.isNotNull())
+def csv_overflow(rows: DataFrame) -> DataFrame:
+    """Records with more values than the layout has columns, and records that cannot be read."""
+    return rows.filter(F.col(f.CORRUPT).isNotNull())

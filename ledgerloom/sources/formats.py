@@ -13,26 +13,25 @@ JSON_NULL_TOKENS = ["", "NULL", "null", "None", "none", "NONE"]
 
 CORRUPT = "_corrupt_record"
 
-_CSV_BASE = {
-    "sep": ",",
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "true",
-    "ignoreTrailingWhiteSpace": "true",
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT,
-}
-
 
 @dataclass(frozen=True)
 class CsvFormat:
-    options: dict
+    """Values end at ``sep`` and may be enclosed in double quotes; ``\\`` takes the next character of an unenclosed value as it is."""
+
+    sep: str
+    header: bool
     null_tokens: list
 
 
-CSV_STANDARD = CsvFormat({**_CSV_BASE, "header": "true"}, CSV_NULL_TOKENS)
-CSV_NO_HEADER = CsvFormat({**_CSV_BASE, "header": "false"}, SHORT_NULL_TOKENS)
-CSV_PIPE = CsvFormat({**_CSV_BASE, "header": "true", "sep": "|"}, SHORT_NULL_TOKENS)
+CSV_STANDARD = CsvFormat(",", True, CSV_NULL_TOKENS)
+CSV_NO_HEADER = CsvFormat(",", False, SHORT_NULL_TOKENS)
+CSV_PIPE = CsvFormat("|", True, SHORT_NULL_TOKENS)
+
+# of Spark's own reader, for streams of files without line feeds inside values
+CSV_READER_OPTIONS = {
+    "sep": ",", "header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+}
 
 XML_OPTIONS = {"ignoreSurroundingSpaces": "true", "attributePrefix": "_", "valueTag": "_VALUE"}
 

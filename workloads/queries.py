@@ -139,7 +139,7 @@ def read_txt_lines(w):
 @query("capture_file_metadata", "SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS misnumbered_rows FROM raw_orders")
 def capture_file_metadata(w):
     path = w.inputs.csv_files(truth.ORDERS, formats.ORDERS, "metadata")
-    rows = w.spark.read.schema(formats.ORDERS.reader_schema()).options(**formats.CSV_STANDARD.options).csv(path)
+    rows = w.spark.read.schema(formats.ORDERS.reader_schema()).options(**formats.CSV_READER_OPTIONS).csv(path)
     numbered = files.capture_file_metadata(rows)
     # in every file the numbers run from 1 to its number of rows
     per_file = numbered.groupBy("source_file_path").agg(
@@ -1302,7 +1302,7 @@ def incremental_ingest(w):
         step.select("order_id_raw", "customer_id_raw").write.mode("overwrite").parquet(f"{sink}/step={number}")
 
     for _ in range(2):
-        stream = file_stream(w.spark, path, schema=schema, options=formats.CSV_STANDARD.options, files_per_step=4)
+        stream = file_stream(w.spark, path, schema=schema, options=formats.CSV_READER_OPTIONS, files_per_step=4)
         incremental_file_ingest(stream, checkpoint, write)
     loaded = w.spark.read.parquet(sink).filter("order_id_raw IS NOT NULL")
     blank = F.coalesce("customer_id_raw", F.lit(""))
