@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import formats as f
+from . import formats as f, nested_records
 from .files import matches_pattern, number_file_rows, stamp, with_file_metadata, with_record_ids
 
 # which ids each kind of raw row gets
@@ -144,3 +144,50 @@ def read_xml_records(
     if pattern:
         pieces = pieces.filter(matches_pattern(F.col("source_file_path"), pattern))
     return split_xml_records(pieces, batch_id, as_of, client=client, start_id=start_id)
+
+
+# ---- documents of any size, split among tasks -------------------------------
+
+
+def _split_lines(spark: SparkSession, path, sep: str, pattern: str | None) -> DataFrame:
+    lines = with_file_metadata(spark.read.option("recursiveFileLookup", "true").text(path, lineSep=sep))
+    return lines.filter(matches_pattern(F.col("source_file_path"), pattern)) if pattern else lines
+
+
+def _with_documents(elements: DataFrame, documents: DataFrame, batch_id: str, as_of: str, client: str, fmt: str, start_id: int, series: int):
+    documents = stamp(with_record_ids(documents, start_id, series), batch_id, as_of, client, fmt)
+    return elements.join(documents.drop("well_formed"), "source_file_path"), documents
+
+
+def split_xml_documents(
+    spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientA",
+    pattern: str | None = f.XML_PATTERN, start_id: int = 0, fragments: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """``(transactions, documents)``: what ``read_xml_documents`` and flattening give, for documents of any size.
+
+    One row per ``<Transaction>`` below the root of a well-formed document (``transaction_xml``, ``transaction_index``), and
+    one per document with the verdict ``well_formed``. With ``fragments``, the files are texts that hold root-less XML.
+    A document is split among tasks; comments, CDATA sections and nesting may go over any number of splits.
+    """
+    check = lambda text, schema: F.from_xml(text, schema, f.XML_OPTIONS)
+    lines = _split_lines(spark, path, RECORD_END, pattern)
+    elements, documents = nested_records.xml_elements(lines, fragments, wrap_fragments, check)
+    elements = elements.withColumnsRenamed({"text": "transaction_xml", "element_index": "transaction_index"})
+    fmt, series = ("XML_FROM_TXT", SERIES["txt"]) if fragments else ("XML", SERIES["xml"])
+    rows, documents = _with_documents(elements, documents, batch_id, as_of, client, fmt, start_id, series)
+    rows = rows.withColumn("file_hash", hash_document(F.col("transaction_xml"))).withColumn("crosses_comment", F.lit(False))
+    return rows, documents
+
+
+def split_json_documents(
+    spark: SparkSession, path, batch_id: str, as_of: str, *, client: str = "ClientC",
+    pattern: str | None = f.JSON_PATTERN, start_id: int = 0,
+) -> tuple[DataFrame, DataFrame]:
+    """``(elements, documents)``: the transactions of JSON documents of any size as variants, and each document's verdict.
+
+    The list is the root, or its member ``transactions``, as in the whole read; a document is split among tasks.
+    """
+    elements, documents = nested_records.json_elements(_split_lines(spark, path, "}", pattern))
+    rows, documents = _with_documents(elements, documents, batch_id, as_of, client, "JSON", start_id, SERIES["json"])
+    rows = rows.withColumns({"file_hash": hash_document(F.col("text")), "transaction": F.parse_json("text")})
+    return rows.withColumnRenamed("element_index", "transaction_index").drop("text"), documents
