@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as x
+from ..sources.formats import null_if_token
 from .staging_xml import ITEM_PARENT, LINEAGE, standardize_item_values
 
 # Paths read from a transaction and from an item (raw column -> path).
@@ -64,8 +65,11 @@ def malformed_json(docs: DataFrame) -> DataFrame:
     return docs.filter(F.try_parse_json("raw_json_content").isNull())
 
 
-def extract_json_fields(flat: DataFrame) -> DataFrame:
+def extract_json_fields(flat: DataFrame, null_tokens: list | None = None) -> DataFrame:
+    """Fields as text; with ``null_tokens``, values that are one of them but for blanks are NULL."""
     columns = {name: _text("transaction", path) for name, path in TRANSACTION_PATHS.items()}
+    if null_tokens:
+        columns = {name: null_if_token(F.trim(text), null_tokens) for name, text in columns.items()}
     columns["items"] = F.try_variant_get("transaction", "$.items", "array<variant>")
     columns["customer_json"] = F.to_json(F.try_variant_get("transaction", "$.order.customer", "variant"))
     columns["payment_json"] = F.to_json(F.try_variant_get("transaction", "$.payment", "variant"))

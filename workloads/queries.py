@@ -1307,3 +1307,6 @@ def incremental_ingest(w):
     loaded = w.spark.read.parquet(sink).filter("order_id_raw IS NOT NULL")
     blank = F.coalesce("customer_id_raw", F.lit(""))
     return loaded.groupBy("order_id_raw", blank.alias("customer_id_raw")).agg(F.count(F.lit(1)).alias("times_loaded"))
+
+
+from . import format_queries  # noqa: E402, F401  registers its queries in the tables above
