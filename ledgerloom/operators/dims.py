@@ -214,6 +214,12 @@ def apply_changes(target: DataFrame, changes: DataFrame, dim: Dimension, as_of:
     return _with_keys(_merge(target, changes, dim, as_of, new_versions=True), target, dim)
 
 
+def change_segment(target: DataFrame, changes: DataFrame, dim: Dimension, as_of: str) -> DataFrame:
+    """Only the rows that ``apply_changes`` would change or add: expired versions under their keys, and new ones."""
+    current = target.filter(F.col("is_current") & (F.col(dim.sk) != -1)).join(changes.select(dim.key), dim.key, "left_semi")
+    return _with_keys(_merge(current.select(*dim.names), changes, dim, as_of, new_versions=True), target, dim)
+
+
 def scd2_apply(target: DataFrame, source: DataFrame, dim: Dimension, as_of: str) -> DataFrame:
     """Expire changed members and add their next version; add unknown keys; keep the rest."""
     return _with_keys(_merge(target, one_per_key(source, dim), dim, as_of, new_versions=True), target, dim)

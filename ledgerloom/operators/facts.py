@@ -137,6 +137,30 @@ def aggregate_items_per_transaction(items: DataFrame) -> DataFrame:
     )
 
 
+def add_to_aggregates(fact_transaction: DataFrame, sums: DataFrame) -> DataFrame:
+    """Headers after further lines, from the sums of these lines alone (``aggregate_items_per_transaction``)."""
+    names = ["item_count", "total_line_amount", "total_line_amount_abs"]
+    more = sums.select("transaction_sk", *[F.col(n).alias(f"_{n}") for n in names])
+    c = F.col
+    zero = F.lit(0).cast(MONEY)
+
+    def added(n: str) -> Column:
+        both = c(n).isNull() & c(f"_{n}").isNull()
+        kind = "bigint" if n == "item_count" else MONEY
+        return F.when(~both, (F.coalesce(c(n), F.lit(0).cast(kind)) + F.coalesce(c(f"_{n}"), F.lit(0).cast(kind))).try_cast(kind))
+
+    change = c("_item_count").isNotNull()
+    joined = fact_transaction.join(more, "transaction_sk", "left").withColumns({f"new_{n}": F.when(change, added(n)).otherwise(c(n)) for n in names})
+    paid, lines = c("payment_amount_abs"), c("new_total_line_amount_abs")
+    gap = F.abs(F.coalesce(paid, zero) - F.coalesce(lines, zero))
+    new = {
+        **{n: c(f"new_{n}").cast(fact_transaction.schema[n].dataType) for n in names},
+        "amount_variance": (paid - lines).try_cast(MONEY),
+        "has_amount_variance": gap > F.lit("0.01").cast("decimal(18,4)"),
+    }
+    return joined.withColumns({n: F.when(change, v).otherwise(c(n)) for n, v in new.items()}).select(*fact_transaction.columns)
+
+
 def update_transaction_aggregates(fact_transaction: DataFrame, items: DataFrame) -> DataFrame:
     """Headers with the figures of their lines; a header is touched only where count or total differ."""
     names = ["item_count", "total_line_amount", "total_line_amount_abs"]

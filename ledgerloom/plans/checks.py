@@ -39,7 +39,7 @@ def run_all_dq_checks(
     tracker = _of_batch(store, TRACKER, batch_id, found)
     note("Duplicate Detection", f"Duplicate detection completed. Found {tracker.count()} duplicate groups.")
 
-    fact = read_fact(store, FACT_TRANSACTION).filter(F.col("batch_id") == batch_id)
+    fact = read_fact(store, FACT_TRANSACTION, [batch_id])
     logged = (
         quality.duplicate_issues(tracker, batch_id, as_of)
         .unionByName(quality.log_issues_client_a(a, items_a, batch_id, as_of))
@@ -67,4 +67,4 @@ def run_all_dq_checks(
 
 def _of_batch(store: TableStore, name: str, batch_id: str, like: DataFrame) -> DataFrame:
     empty = store.spark.createDataFrame([], like.schema)
-    return store.read(name, empty).filter(F.col("batch_id") == batch_id)
+    return store.read(name, empty, parts=[batch_id])

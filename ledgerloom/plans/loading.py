@@ -44,8 +44,8 @@ def create_dimensions(store: TableStore, as_of: str, first_day: str = FIRST_DAY,
         run_together(*missing)
 
 
-def read_fact(store: TableStore, name: str) -> DataFrame:
-    return store.read(name, facts.empty_fact(store.spark, FACT_COLUMNS[name]))
+def read_fact(store: TableStore, name: str, batches: list[str] | None = None) -> DataFrame:
+    return store.read(name, facts.empty_fact(store.spark, FACT_COLUMNS[name]), parts=batches)
 
 
 @dataclass
@@ -59,32 +59,35 @@ def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def refresh_transaction_aggregates(store: TableStore, as_of: str) -> int:
-    """Bring item figures up to date in those batches that have headers without figures or with new lines.
+def refresh_transaction_aggregates(store: TableStore, new_lines: DataFrame) -> int:
+    """Add the figures of new lines to their headers; returns the number of headers.
 
-    Only the partitions of these batches are rewritten, and only lines of
-    their headers are summed.
+    Earlier lines are not read again. Keys rise from load to load, so the range of the
+    headers' keys lets the scan for their batches skip files of older ones; only those
+    batches are rewritten. Lines and figures are committed together by the caller's transaction.
     """
-    headers, items = read_fact(store, FACT_TRANSACTION), read_fact(store, FACT_ITEM)
-    new_lines = items.filter(F.col("created_at") == F.lit(as_of).cast("timestamp")).select("transaction_sk")
-    outdated = headers.join(new_lines, "transaction_sk", "left_semi").unionByName(
-        headers.filter("item_count IS NULL").join(items, "transaction_sk", "left_semi")
-    )
-    # a handful of names, not rows
-    batches = [r[0] for r in outdated.select("batch_id").distinct().collect()]
-    if not batches:
+    sums = materialize(facts.aggregate_items_per_transaction(new_lines), "line-sums")
+    n, low, high = sums.agg(F.count(F.lit(1)), F.min("transaction_sk"), F.max("transaction_sk")).first()
+    if not n:
         return 0
-    affected = headers.filter(F.col("batch_id").isin(batches))
-    lines = items.join(affected.select("transaction_sk"), "transaction_sk", "left_semi")
-    store.replace_batches(FACT_TRANSACTION, facts.update_transaction_aggregates(affected, lines), batches, reads_itself=True)
-    return read_fact(store, FACT_TRANSACTION).filter(F.col("batch_id").isin(batches) & F.col("item_count").isNotNull()).count()
+    headers = read_fact(store, FACT_TRANSACTION).filter(F.col("transaction_sk").between(low, high))
+    # a handful of names, not rows
+    batches = [r[0] for r in headers.join(sums, "transaction_sk", "left_semi").select("batch_id").distinct().collect()]
+    store.replace_batches(FACT_TRANSACTION, facts.add_to_aggregates(read_fact(store, FACT_TRANSACTION, batches), sums), batches)
+    return n
 
 
 def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> DataFrame:
     """Dimensions, then facts, then figures derived from lines; returns (step, result, completed_at).
 
-    Keys already loaded are skipped, so a repeated or resumed run adds nothing twice.
+    Keys already loaded are skipped, so a repeated run adds nothing twice. All tables change
+    in one commit: a load that breaks off leaves none of it behind.
     """
+    with store.transaction():
+        return _load_all(store, staged, as_of)
+
+
+def _load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> DataFrame:
     spark = store.spark
     create_dimensions(store, as_of)
     a, c, items_a, items_c = (staged[n] for n in (CLIENT_A, CLIENT_C, CLIENT_A_ITEMS, CLIENT_C_ITEMS))
@@ -93,10 +96,10 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
         return Step(name, work(), _now())
 
     def dimension(name: str, dim: dims.Dimension, candidates: DataFrame) -> str:
-        # only members that change are merged; without any, no new version is written
+        # only members that change are merged and written, as a segment; without any, nothing is
         changes = materialize(dims.changed_members(store.read(name), dims.one_per_key(candidates, dim), dim), f"{dim.name}-changes")
         if not changes.isEmpty():
-            store.overwrite(name, dims.apply_changes(store.read(name), changes, dim, as_of))
+            store.upsert(name, dims.change_segment(store.read(name), changes, dim, as_of), dim.sk)
         return "Completed"
 
     def customers() -> str:
@@ -113,11 +116,14 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
         new = load(rows, dim_customer, dim_date, methods, read_fact(store, FACT_TRANSACTION), as_of)
         return f"{client} transactions loaded: {store.append(FACT_TRANSACTION, new)} rows"
 
+    new_lines: list[DataFrame] = []
+
     def lines() -> str:
         new = facts.load_fact_transaction_item(
             items_a, items_c, read_fact(store, FACT_TRANSACTION), dim_product, read_fact(store, FACT_ITEM), as_of
         )
-        return f"Transaction items loaded: {store.append(FACT_ITEM, new)} rows"
+        new_lines.append(materialize(new, "new-lines"))
+        return f"Transaction items loaded: {store.append(FACT_ITEM, new_lines[0])} rows"
 
     def orders() -> str:
         new = facts.load_fact_order(staged["staging.stg_orders"], dim_customer, dim_date, statuses, read_fact(store, FACT_ORDER), as_of)
@@ -132,7 +138,7 @@ def load_all(store: TableStore, staged: dict[str, DataFrame], as_of: str) -> Dat
             step("fact_transaction_client_a", lambda: transactions(facts.load_fact_transaction_client_a, a, "ClientA")),
             step("fact_transaction_client_c", lambda: transactions(facts.load_fact_transaction_client_c, c, "ClientC")),
             step("fact_transaction_item", lines),
-            step("transaction_aggregates", lambda: f"Transaction aggregates updated: {refresh_transaction_aggregates(store, as_of)} rows"),
+            step("transaction_aggregates", lambda: f"Transaction aggregates updated: {refresh_transaction_aggregates(store, new_lines[0])} rows"),
         ]
 
     chain, of_orders, of_payments = run_together(

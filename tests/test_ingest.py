@@ -6,11 +6,12 @@ import pytest
 from golden import write_inbox
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import quality
-from ledgerloom.plans import operations
-from ledgerloom.plans.loading import FACT_ORDER, read_fact
+from ledgerloom.operators import dims, facts, quality
+from ledgerloom.plans import loading, operations
+from ledgerloom.plans.loading import DIM_CUSTOMER, FACT_COLUMNS, FACT_ITEM, FACT_ORDER, FACT_TRANSACTION, read_fact
 from ledgerloom.plans.pipeline import LEDGER, LEDGER_SCHEMA, Pipeline
 from ledgerloom.plans.store import TableStore
+from ledgerloom.session import materialize
 from ledgerloom.sources import csv_files, documents, files, formats
 
 AS_OF = "2025-01-15 10:00:00"
@@ -101,17 +102,162 @@ def test_late_corrected_and_reprocessed_files(pipeline):
     assert pipe.raw(LEDGER, LEDGER_SCHEMA).count() == 3
 
 
-def test_a_step_without_its_ledger_entry_does_not_count(pipeline, spark):
+class Broken(Exception):
+    pass
+
+
+def break_write(monkeypatch, spark, number):
+    """The ``number``-th write of files or of the commit log from now on fails, the log's after half of its text."""
+    writer, left = type(spark.range(1).write), [number]
+    parquet, record = writer.parquet, TableStore._write_record
+
+    def count():
+        left[0] -= 1
+        return left[0] == 0
+
+    def files(self, *a, **k):
+        if count():
+            raise Broken
+        return parquet(self, *a, **k)
+
+    def log(self, state):
+        if count():
+            name = f"{self.root}/_log/{len(self._records()) + 1:012d}.json"
+            where, fs = self._fs(name)
+            out = fs.create(where, False)
+            out.write(bytearray(b'{"raw'))
+            out.close()
+            raise Broken
+        return record(self, state)
+
+    monkeypatch.setattr(writer, "parquet", files)
+    monkeypatch.setattr(TableStore, "_write_record", log)
+    return left
+
+
+def test_ingest_that_fails_at_any_write_counts_wholly_or_not(pipeline, spark, monkeypatch):
     pipe, _ = pipeline
-    write = type(spark.range(1).write).parquet
+    for n in range(1, 50):
+        with monkeypatch.context() as m:
+            left = break_write(m, spark, n)
+            try:
+                pipe.ingest(f"B{n}", AS_OF)
+            except Broken:
+                pass
+        found = [r[1] for r in orders(pipe)]
+        assert found in ([], ["ORD-1", "ORD-2"]) and pipe.raw(LEDGER, LEDGER_SCHEMA).count() == len(found) // 2
+        if left[0] > 0:
+            break
+    assert n > 3 and found == ["ORD-1", "ORD-2"]
+
+
+def test_reprocess_that_fails_at_any_write_loses_nothing(pipeline, spark, monkeypatch):
+    pipe, inbox = pipeline
+    order_file(inbox / "Order.CSV", ["ORD-9"])
     pipe.ingest("B1", AS_OF)
-    # as if the run had broken off between the rows and the ledger
-    jvm = spark._jvm.org.apache.hadoop.fs
-    ledger = jvm.Path(f"{pipe.store.root}/raw/load_ledger")
-    ledger.getFileSystem(spark._jsc.hadoopConfiguration()).delete(ledger, True)
-    assert orders(pipe) == [] and write
+    old = orders(pipe)
+    for n in range(1, 50):
+        with monkeypatch.context() as m:
+            left = break_write(m, spark, n)
+            try:
+                pipe.reprocess("Order.CSV")
+            except Broken:
+                assert orders(pipe) == old and pipe.raw(LEDGER, LEDGER_SCHEMA).count() == 2
+        if left[0] > 0:
+            break
+    assert n == 4  # rows, ledger entries, the record, and none
+    assert [r[1] for r in orders(pipe)] == ["ORD-1", "ORD-2"]
     pipe.ingest("B2", AS_OF)
-    assert [r[1:] for r in orders(pipe)] == [("ORD-1", "B2"), ("ORD-2", "B2")]
+    assert sorted(r[1] for r in orders(pipe)) == ["ORD-1", "ORD-2", "ORD-9"]
+    pipe.store.vacuum()
+    assert sorted(r[1] for r in orders(pipe)) == ["ORD-1", "ORD-2", "ORD-9"]
+
+
+def test_replay_that_fails_at_any_write_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "store"))
+    names = {n: facts.empty_fact(spark, FACT_COLUMNS[n]) for n in (FACT_TRANSACTION, FACT_ITEM)}
+
+    def add(name, rows, columns):
+        df = spark.createDataFrame(rows, columns)
+        store.append(name, df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in names[name].schema]))
+
+    add(FACT_TRANSACTION, [(1, "A"), (2, "B")], "transaction_sk long, batch_id string")
+    add(FACT_ITEM, [(10, 1, "A"), (11, 1, "B"), (12, 2, "B")], "transaction_item_sk long, transaction_sk long, batch_id string")
+
+    def load():
+        add(FACT_TRANSACTION, [(3, "A")], "transaction_sk long, batch_id string")
+        add(FACT_ITEM, [(13, 3, "A")], "transaction_item_sk long, transaction_sk long, batch_id string")
+
+    keys = lambda: (sorted(r[0] for r in read_fact(store, FACT_TRANSACTION).select("transaction_sk").collect()),
+                    sorted(r[0] for r in read_fact(store, FACT_ITEM).select("transaction_item_sk").collect()))
+    old, new = ([1, 2], [10, 11, 12]), ([2, 3], [12, 13])
+    for n in range(1, 20):
+        with monkeypatch.context() as m:
+            left = break_write(m, spark, n)
+            try:
+                operations.replay_batch(store, load, "A")
+            except Broken:
+                assert keys() == old
+        if left[0] > 0:
+            break
+    assert keys() == new and n == 5
+
+
+def test_figures_of_headers_grow_with_new_lines_only(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "store"))
+    shape = {n: facts.empty_fact(spark, FACT_COLUMNS[n]) for n in (FACT_TRANSACTION, FACT_ITEM)}
+    fit = lambda name, df: df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape[name].schema])
+    figures = ["item_count", "total_line_amount", "total_line_amount_abs", "amount_variance", "has_amount_variance"]
+    for i, batch in enumerate("ABC"):
+        heads = spark.range(i * 100, i * 100 + 100).select(F.col("id").alias("transaction_sk"), F.lit(batch).alias("batch_id"), F.when(F.col("id") % 7 > 0, F.col("id") * 1.5).alias("payment_amount_abs"))
+        store.append(FACT_TRANSACTION, fit(FACT_TRANSACTION, heads))
+        # lines of this batch's headers, and late ones of the batch before
+        lines = spark.range(300).select(F.greatest(F.lit(0), F.col("id") % 130 + i * 100 - 30).alias("transaction_sk"), F.lit(batch).alias("batch_id"),
+                                        F.when(F.col("id") % 5 > 0, F.col("id") - 40).alias("line_total"), F.when(F.col("id") % 5 > 0, F.abs(F.col("id") - 40)).alias("line_total_abs"))
+        new = fit(FACT_ITEM, lines)
+        opened = []
+        before = store._versions(FACT_TRANSACTION)
+        with store.transaction():
+            store.append(FACT_ITEM, new)
+            with monkeypatch.context() as m:
+                real = store.read
+                m.setattr(store, "read", lambda name, *a, **k: opened.append(name) or real(name, *a, **k))
+                loading.refresh_transaction_aggregates(store, new)
+        assert FACT_ITEM not in opened and (i < 2 or before[0] in store._versions(FACT_TRANSACTION))
+        now = read_fact(store, FACT_TRANSACTION)
+        plain = now.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in figures else F.col(f.name) for f in now.schema])
+        again = facts.update_transaction_aggregates(plain, read_fact(store, FACT_ITEM))
+        key = lambda df: sorted(tuple(r) for r in df.select("transaction_sk", *[F.col(x).cast("string") for x in figures]).fillna("-").collect())
+        assert key(now) == key(again)
+
+
+def test_dimension_changes_are_written_as_segments(spark, tmp_path):
+    """Bytes follow the changed members; after any number of loads the table is that of whole rewrites."""
+    store = TableStore(spark, str(tmp_path / "store"))
+
+    def source(rows):
+        return spark.createDataFrame(rows, "customer_id string, email string, record_hash string, n bigint").select(
+            "customer_id", "email", "record_hash", F.lit(0).alias("_priority"), F.lit(AS_OF).cast("timestamp").alias("_seen"),
+            F.col("n").alias("_record"), F.lit(0).alias("_position"), F.lit("f").alias("source_file_name"),
+            *[F.lit(None).cast(t).alias(c) for c, t in dims.CUSTOMER.attributes if c not in ("email", "source_file_name")],
+        )
+
+    plain = store.overwrite(DIM_CUSTOMER, dims.new_dimension(spark, dims.CUSTOMER, AS_OF))
+    plain = spark.createDataFrame(plain.collect(), plain.schema)
+    written = []
+    for day in range(12):
+        rows = [(f"C{i}", f"e{day}", f"h{day}" if i % 50 == day else f"h{i % 50 > day and -1 or i % 50}", i) for i in range(3000 if day == 0 else 500)]
+        at = f"2025-02-{day + 1:02d} 00:00:00"
+        changes = dims.changed_members(store.read(DIM_CUSTOMER), dims.one_per_key(source(rows), dims.CUSTOMER), dims.CUSTOMER)
+        changes = materialize(changes, "changes")
+        store.upsert(DIM_CUSTOMER, dims.change_segment(store.read(DIM_CUSTOMER), changes, dims.CUSTOMER, at), dims.CUSTOMER.sk)
+        folders = store._versions(DIM_CUSTOMER)
+        if len(folders) > 1:  # else the segments were written into the table
+            written.append((spark.read.parquet(folders[-1]).count(), changes.count()))
+        plain = dims.scd2_apply(plain, source(rows), dims.CUSTOMER, at)
+        plain = spark.createDataFrame(plain.collect(), plain.schema)
+    assert sorted(map(tuple, store.read(DIM_CUSTOMER).fillna("").collect())) == sorted(map(tuple, plain.fillna("").collect()))
+    assert len(written) == 11 and all(rows <= 2 * changed for rows, changed in written) and written[-1][1] < 100
 
 
 def test_a_failed_run_is_taken_up_by_the_next(spark, tmp_path, monkeypatch):
