@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Observation, Window as W, functions as F
 
 from ..session import fresh_path
 
+# rows of a file in which keys are counted
+ROWS_PER_FILE = 250_000
+
 
 def keep_first(df: DataFrame, key: list[str], order: list) -> DataFrame:
     """The first row per key.
@@ -25,16 +28,19 @@ def max_key(table: DataFrame, column: str) -> int:
 def assign_surrogate_keys(df: DataFrame, name: str, key: list[str], start: int = 0) -> DataFrame:
     """Dense ids ``start+1 … start+n`` in the order of the key's MD5 digest.
 
-    Digests spread evenly, so the leading digits place each row in one of n
-    ordered partitions of like size, without sampling. The partitions are
-    sorted and written, one file each; an id is then the number of rows in
-    earlier files plus the row's position in its own. This takes one shuffle
-    and computes ``df`` once. The ids depend on the keys only, and stay the
-    same when a task is repeated or the result is read again.
+    The rows are written and counted; their number, not a setting, gives the
+    number of partitions. Digests spread evenly, so the leading digits place each
+    row in one of n ordered partitions of like size, without sampling. The
+    partitions are sorted and written, one file each; an id is then the number of
+    rows in earlier files plus the row's position in its own. This takes one
+    shuffle and computes ``df`` once. The ids depend on the keys only, and stay
+    the same when a task is repeated or the result is read again.
     """
     spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = fresh_path(spark, name)
+    path, seen = fresh_path(spark, name), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/rows")
+    partitions = max(1, -(-seen.get.get("n", 0) // ROWS_PER_FILE))
+    df, path = spark.read.schema(df.schema).parquet(f"{path}/rows"), f"{path}/sorted"
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]))
     # the first 32 bits of the digest, scaled to the number of partitions
     slot = F.shiftright(F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint") * partitions, 32).cast("int")

@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,8 +42,20 @@ def test_missing_keys_are_spread_and_match_nothing(spark):
     assert joined.filter("customer_id = 'K1' AND customer_sk != 1").count() == 0
 
 
-@pytest.mark.parametrize("partitions", ["1", "3", "16"])
-def test_surrogate_keys_do_not_depend_on_partitioning(spark, partitions):
+@pytest.mark.parametrize("n, files", [(10, 1), (1000, 1), (1001, 2), (30_000, 30)])
+def test_surrogate_key_files_follow_the_rows(spark, monkeypatch, n, files):
+    """Files of like size for any number of rows, under one setting."""
+    monkeypatch.setattr(keys, "ROWS_PER_FILE", 1000)
+    rows = keys.assign_surrogate_keys(spark.range(n).select(F.col("id").cast("string").alias("k")), "sk", ["k"])
+    assert rows.select("sk").distinct().count() == n == rows.agg(F.max("sk")).first()[0]
+    per_file = [pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows for f in rows.inputFiles()]
+    assert len(per_file) == files and max(per_file) < 1300
+
+
+@pytest.mark.parametrize("rows_per_file", [100_000, 1700, 300])
+@pytest.mark.parametrize("partitions", ["1", "16"])
+def test_surrogate_keys_do_not_depend_on_partitioning(spark, monkeypatch, partitions, rows_per_file):
+    monkeypatch.setattr(keys, "ROWS_PER_FILE", rows_per_file)
     rows = spark.range(5000).select(F.concat(F.lit("K"), F.col("id").cast("string")).alias("k"))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     expected = {r["k"]: i + 11 for i, r in enumerate(rows.orderBy(F.md5("k"), "k").collect())}

@@ -1165,12 +1165,14 @@ def global_counts(w):
     UNION ALL SELECT 'raw_txt_xml_transactions', count(*), count(DISTINCT source_file_name) FROM (SELECT DISTINCT doc, source_file_name FROM landed_a WHERE is_txt = 1) t
     UNION ALL SELECT 'raw_json_transactions', count(*), count(DISTINCT source_file_name) FROM (SELECT DISTINCT doc, source_file_name FROM raw_headers_c) t
     UNION ALL SELECT 'raw_csv_customers', count(*), count(DISTINCT source_file_name) FROM raw_customers
-    UNION ALL SELECT 'raw_csv_orders', count(*), count(DISTINCT source_file_name) FROM raw_orders""")
+    UNION ALL SELECT 'raw_csv_orders', count(*), count(DISTINCT source_file_name) FROM raw_orders
+    UNION ALL SELECT 'raw_csv_products', count(*), count(DISTINCT source_file_name) FROM raw_products
+    UNION ALL SELECT 'raw_csv_payments', count(*), count(DISTINCT source_file_name) FROM raw_payments""")
 def report_ingestion_summary(w):
     i = w.inputs
     return reports.report_ingestion_summary({
         "raw_xml_transactions": i.xml_docs, "raw_txt_xml_transactions": i.txt_docs, "raw_json_transactions": i.json_docs,
-        "raw_csv_customers": i.customers, "raw_csv_orders": i.orders,
+        "raw_csv_customers": i.customers, "raw_csv_orders": i.orders, "raw_csv_products": i.products, "raw_csv_payments": i.payments,
     }, BATCH)
 
 
@@ -1188,11 +1190,13 @@ def report_run_summary(w):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-@query("report_lineage_counts", """SELECT 'RAW' AS layer, count(*) AS record_count FROM (SELECT DISTINCT doc FROM landed_a WHERE is_txt = 0) t
+@query("report_lineage_counts", """SELECT 'RAW' AS layer, count(*) AS record_count FROM (SELECT DISTINCT doc FROM landed_a) t
     UNION ALL SELECT 'STAGING', count(*) FROM stg_a UNION ALL SELECT 'CANONICAL', count(*) FROM fact_a
     UNION ALL SELECT 'DQ_ISSUES', count(*) FROM issues WHERE source_client = 'ClientA'""")
 def report_lineage_counts(w):
-    return reports.report_lineage_counts(w.inputs.xml_docs, w.stg_a, w.fact, w.issues, "ClientA")
+    shared = ["source_client", "batch_id", "source_file_name"]
+    raw = w.inputs.xml_docs.select(*shared).unionByName(w.inputs.txt_docs.select(*shared))
+    return reports.report_lineage_counts(raw, w.stg_a, w.fact, w.issues, "ClientA")
 
 
 _AUDIT_SQL = f"""SELECT source_file_name, 'raw.raw_csv_customers' AS target_table, count(*) AS rows_loaded, 1 AS hour FROM raw_customers GROUP BY 1
