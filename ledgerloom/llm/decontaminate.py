@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import textkit
 from .common import Scratch
@@ -305,7 +306,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", tex
                     names=[id_column, item_column, "score", "question_overlap", "answer_overlap"],
                 )
 
-        ITEM = pa.int64() if item_kind.simpleString() == "bigint" else pa.int32() if item_kind.simpleString() == "int" else pa.string()
+        ITEM = to_arrow_type(item_kind)
         found = found.union(slim.mapInArrow(search, shape))
     return found
 
