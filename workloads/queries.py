@@ -1259,6 +1259,16 @@ def replay_batch(w):
     return parts[0].unionByName(parts[1])
 
 
+@query("erase_from_raw_documents", """SELECT transaction_id_raw, order_id_raw, customer_id_raw FROM landed_a
+    WHERE is_broken = 0 AND coalesce(upper(trim(customer_id_raw)), '') <> (SELECT min(customer_id) FROM fact_ac)""")
+def erase_from_raw_documents(w):
+    """All client-A documents, XML and text, without the transactions of one customer."""
+    person = w.fact.agg(F.min("customer_id")).first()[0]
+    docs = [operations.erase_from_raw(d, person, w.spark.createDataFrame([], "_id string")) for d in (w.inputs.xml_docs, w.inputs.parsed_txt_docs)]
+    flat = staging_xml.extract_xml_fields(staging_xml.flatten_xml_transactions(staging_xml.union_xml_sources(*docs)))
+    return flat.select("transaction_id_raw", "order_id_raw", "customer_id_raw")
+
+
 @query("reprocess_file", f"SELECT raw_record_id, source_file_name FROM raw_orders WHERE source_file_name <> 'Order.csv'")
 def reprocess_file(w):
     raw = w.inputs.orders
