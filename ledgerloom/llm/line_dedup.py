@@ -1,23 +1,24 @@
 """Removal of repeated runs of lines by winnowing over line hashes, in DataFrame operations only.
 
-A window is the shortest run of lines, from a given line on, that holds
-``min_words`` words. From each window the line of smallest hash is selected as
-its fingerprint. Two equal windows select the same line, so every repeated run
+A window is a shortest run of lines that holds ``min_words`` words: from each line
+on, and back from each line. From each window the line of smallest hash is selected
+as its fingerprint. Two equal windows select the same line, so every repeated run
 of ``min_words`` words or more shares a fingerprint: a guarantee, with few
 fingerprints. Fingerprints found at one place only end the search for their
-windows. Where a fingerprint recurs, its windows are compared as a whole, and
-the lines of every window that occurred before are deleted; overlapping windows
-extend a match over the repeated run. All steps are groupings by a hash, so a line
-that a third of all documents share costs no more than others.
-
-Windows are taken forward only, as the check statement takes them: the last lines
-of a repeated run stay where they alone hold fewer than ``min_words`` words and no
-matching window reaches them.
+windows. Where a fingerprint recurs, the windows around its places are compared as
+a whole, and the lines of every window that occurred before are deleted. The windows
+that run forward carry a match to the right as far as a whole window fits, those that
+run back reach its last line, and the same to the left; so a match is extended both
+ways over the whole repeated run, and no further. All steps are groupings by a hash,
+so a line that a third of all documents share costs no more than others, and no two
+places are paired.
+
+Lines and windows are told apart by two independent hashes of 64 bits each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from .common import WORD, Scratch, fresh_name, small
 
@@ -26,23 +27,33 @@ MIN_WORDS = 50
 
 
 def _windows(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, key, start, end, fingerprint, place, content): each window with its fingerprint and the hash of its lines."""
-    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(F.xxhash64(line).alias("h"), F.regexp_count(line, F.lit(WORD)).alias("words")))
+    """(id, key, start, end, fingerprint, place, content): each window with its fingerprint and the hashes of its lines."""
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda line: F.struct(F.xxhash64(line).alias("h"), F.xxhash64(F.lit(1), line).alias("g"), F.regexp_count(line, F.lit(WORD)).alias("words")),
+    )
     # rows equal in id and text are one document
     each = docs.filter("text is not null").select("id", "key", lines.alias("lines")).groupBy("id", "key").agg(F.first("lines").alias("lines"))
-    each = each.select("id", "key", F.posexplode("lines").alias("no", "line")).select("id", "key", "no", "line.h", "line.words").filter("words > 0")
+    each = each.select("id", "key", F.posexplode("lines").alias("no", "line")).select("id", "key", "no", "line.h", "line.g", "line.words").filter("words > 0")
     doc = W.partitionBy("id", "key")
-    before = F.sum("words").over(doc.orderBy("no").rowsBetween(W.unboundedPreceding, 0)) - F.col("words")
-    # a line belongs to the window while the words in front of it, from the window's start, are fewer than min_words
-    run = doc.orderBy("before").rangeBetween(0, min_words - 1)
-    least = F.min(F.struct("h", "no")).over(run)
-    found = each.withColumn("before", before).select(
-        "id", "key", F.col("no").alias("start"), F.max("no").over(run).alias("end"), least.alias("least"),
-        F.xxhash64(F.collect_list("h").over(run)).alias("content"), F.sum("words").over(run).alias("words"),
-    )
-    return found.filter(F.col("words") >= min_words).select(
-        "id", "key", "start", "end", F.col("least.h").alias("fingerprint"), F.col("least.no").alias("place"), "content"
-    )
+    each = each.withColumn("upto", F.sum("words").over(doc.orderBy("no").rowsBetween(W.unboundedPreceding, 0)))
+    each = each.withColumn("before", F.col("upto") - F.col("words"))
+
+    def window(run: WindowSpec) -> Column:
+        least = F.min(F.struct("h", "no")).over(run)
+        return F.struct(
+            F.min("no").over(run).alias("start"), F.max("no").over(run).alias("end"), least["h"].alias("fingerprint"), least["no"].alias("place"),
+            F.struct(F.xxhash64(F.collect_list("h").over(run)).alias("h"), F.xxhash64(F.collect_list("g").over(run)).alias("g")).alias("content"),
+            F.sum("words").over(run).alias("words"),
+        )
+
+    # forward, a line belongs to the window while the words in front of it, from the window's start, are fewer than min_words;
+    # back, while the words behind it, up to the window's end, are
+    forward = window(doc.orderBy("before").rangeBetween(0, min_words - 1))
+    back = window(doc.orderBy("upto").rangeBetween(1 - min_words, 0))
+    found = each.select("id", "key", forward.alias("forward"), back.alias("back"))
+    found = found.select("id", "key", F.explode(F.array("forward", "back")).alias("w")).select("id", "key", "w.*")
+    return found.filter(F.col("words") >= min_words).drop("words")
 
 
 def repeated_lines(docs: DataFrame, scratch: Scratch, min_words: int) -> DataFrame:
@@ -65,8 +76,8 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, min_words: int) -> DataFra
 def drop_repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated runs of lines deleted from the text, and ``n_lines``, ``n_removed``.
 
-    A window, the shortest run of lines of ``min_words`` words from its first line
-    on, that occurred before is deleted where it comes later, in the order of id (null last), then line; between rows
+    Every run of lines of ``min_words`` words or more that occurred before is deleted as a whole
+    where it comes later, in the order of id (null last), then line; between rows
     of one id, in the order of a hash of their texts. Lines are equal when all
     their characters are; lines without words are passed over when runs are
     compared, and go where they lie inside a deleted run. First occurrences stay.

@@ -153,13 +153,17 @@ WITH lines AS (
 ), worded AS (
     SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines
 ), placed AS (
-    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY no) - words AS before FROM worded WHERE words > 0
+    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY no) AS upto FROM worded WHERE words > 0
 ), windows AS (
     SELECT doc_id, no, max(no) OVER run AS last, list(line) OVER run AS content, sum(words) OVER run AS total
-    FROM placed WINDOW run AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+    FROM placed WINDOW run AS (PARTITION BY doc_id ORDER BY upto - words RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+    UNION ALL
+    SELECT doc_id, min(no) OVER run, no, list(line) OVER run, sum(words) OVER run
+    FROM placed WINDOW run AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
 ), later AS (
     SELECT doc_id, no, last FROM windows WHERE total >= 50
-    QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, no) > 1
+    -- a place may hold one window of either kind: both have the same rank
+    QUALIFY rank() OVER (PARTITION BY content ORDER BY doc_id, no) > 1
 ), gone AS (
     SELECT DISTINCT doc_id, unnest(generate_series(no, last)) AS no FROM later
 ), left_over AS (

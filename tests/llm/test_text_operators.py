@@ -84,23 +84,24 @@ def test_components_of_paths(spark):
 
 
 def _plain_line_dedup(docs, least):
-    """Documents in id order: delete lines of every least-word window whose lines occurred before."""
-    seen, out = set(), {}
+    """Documents in id order: every pair of equal lines is grown both ways, and runs of enough words go where they come later."""
+    places, out = {}, {}
+    full = {}
     for i, text in docs:
         lines = text.split("\n")
-        full = [k for k, line in enumerate(lines) if plain.WORD.search(line)]
+        full[i] = [(k, line, len(plain.WORD.findall(line))) for k, line in enumerate(lines) if plain.WORD.search(line)]
         gone = set()
-        for at in range(len(full)):
-            end, total = at, 0
-            while end < len(full) and total < least:
-                total += len(plain.WORD.findall(lines[full[end]]))
-                end += 1
-            if total < least:
-                break
-            window = tuple(lines[k] for k in full[at:end])
-            if window in seen:
-                gone |= set(range(full[at], full[end - 1] + 1))
-            seen.add(window)
+        for at, (_, line, _) in enumerate(full[i]):
+            for j, other in places.get(line, []):
+                mine, theirs = full[i], full[j]
+                if at and other and mine[at - 1][1] == theirs[other - 1][1]:
+                    continue  # not the first line of the match
+                n = 0
+                while at + n < len(mine) and other + n < len(theirs) and mine[at + n][1] == theirs[other + n][1]:
+                    n += 1
+                if sum(words for _, _, words in mine[at : at + n]) >= least:
+                    gone |= set(range(mine[at][0], mine[at + n - 1][0] + 1))
+            places.setdefault(line, []).append((i, at))
         out[i] = "\n".join(line for k, line in enumerate(lines) if k not in gone)
     return out
 
@@ -115,6 +116,15 @@ def test_line_dedup(spark):
     assert sum(r.n_removed for r in found) > 50
 
 
+@pytest.mark.parametrize("first, second", [("long short", "long short"), ("short long", "short long"), ("x short long short y", "short long short z")])
+def test_line_dedup_extends_both_ways(spark, first, second):
+    """A short line beside a long one goes with it, on either side, though no forward window holds it."""
+    text = {"long": " ".join(f"w{i}" for i in range(60)), "short": "ten words that stand beside the long line of sixty"}
+    docs = [(i, "\n".join(text.get(name, name) for name in row.split())) for i, row in enumerate([first, second, "short"])]
+    found = line_dedup.drop_repeated_lines(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert {r.doc_id: r.text for r in found.collect()} == {0: docs[0][1], 1: "z" if "z" in second else "", 2: docs[2][1]}
+
+
 def test_line_dedup_awkward(awkward, empty):
     found = line_dedup.drop_repeated_lines(awkward, min_words=4)
     assert found.count() == awkward.count() and set(awkward.columns) < set(found.columns)
