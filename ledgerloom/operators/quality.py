@@ -311,12 +311,14 @@ def apply_validation_rules(tables: dict[str, DataFrame], identifiers: dict[str,
     ``rules`` are the entries of the rule catalogue, ``tables`` the rows to
     judge by table name and ``identifiers`` the expression naming a record.
     Row rules of a table are evaluated in one pass over it; a UNIQUE rule
-    counts keys first and then picks the rows of repeated keys.
+    counts keys first and then picks the rows of repeated keys. ``customer_id``
+    tells whose record it is, where the table does.
     """
     results = []
     for name, table in tables.items():
         own = [r for r in rules if r[3] == name]
         record = F.expr(identifiers[name]).cast("string")
+        customer = F.col("customer_id") if "customer_id" in table.columns else F.lit(None)
 
         def entry(rule: tuple) -> Column:
             code, title, category, _, column, _, severity, action = rule
@@ -325,6 +327,7 @@ def apply_validation_rules(tables: dict[str, DataFrame], identifiers: dict[str,
                 F.lit(name).alias("target_table"), F.lit(column).alias("target_column"),
                 F.lit(severity).alias("severity"), F.lit(action).alias("action_on_failure"),
                 record.alias("record_identifier"), F.col(column).cast("string").alias("field_value"),
+                customer.cast("string").alias("customer_id"),
             )
 
         by_row = [r for r in own if r[5] != "UNIQUE"]
@@ -403,6 +406,16 @@ def track_anomaly_patterns(issues: DataFrame) -> DataFrame:
     ).withColumn("resolution_status", F.lit("OPEN"))
 
 
+def merge_patterns(patterns: DataFrame) -> DataFrame:
+    """Patterns of several logs that share no batch as those of one log, without reading the logs again."""
+    names = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    return patterns.groupBy("pattern_name", "pattern_category").agg(
+        names("affected_clients").alias("affected_clients"), names("affected_fields").alias("affected_fields"),
+        F.min("first_detected_at").alias("first_detected_at"), F.max("last_detected_at").alias("last_detected_at"),
+        F.sum("occurrence_count").alias("occurrence_count"), F.sum("affected_batches").alias("affected_batches"),
+    ).withColumn("resolution_status", F.lit("OPEN"))
+
+
 def resolve_issues(issues: DataFrame, condition: Column, action: str, notes: str, by: str, as_of: str) -> DataFrame:
     """The log with matching open issues marked as resolved."""
     hit = F.coalesce(condition & ~F.col("is_resolved"), F.lit(False))

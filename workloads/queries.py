@@ -1053,6 +1053,29 @@ def track_anomaly_patterns(w):
     return patterns.select("pattern_name", "pattern_category", "affected_clients", "occurrence_count", "affected_batches")
 
 
+_GAP = "SELECT 'REFERENCE' AS kind, '{key}' AS name, {record} AS record, '-1' AS value FROM {fact} WHERE {key} = -1"
+
+
+@query("run_validation", "SELECT 'RULE' AS kind, rule_code AS name, record_identifier AS record, field_value AS value FROM ("
+       + _rules_sql().replace(_IID, "coalesce(transaction_id, '') || '-LINE_' || line_number") + ") UNION ALL "
+       + " UNION ALL ".join(_GAP.format(fact=fact, key=key, record=record) for fact, key, record in (
+           ("fact_ac", "customer_sk", "transaction_id"), ("fact_item", "product_sk", "transaction_id || '-LINE_' || line_number"), ("fact_order", "customer_sk", "order_id")))
+       + """ UNION ALL SELECT 'PATTERN', issue_type, array_to_string(list_sort(list(DISTINCT source_client)), ' '), CAST(count(*) AS VARCHAR) FROM issues GROUP BY issue_type, issue_category""")
+def run_validation(w):
+    """A loaded and checked batch: broken rules, facts without a known parent, repeated keys (none) and patterns."""
+    from ledgerloom.plans import checks
+
+    store, staged, _ = _loaded(w)
+    checks.run_all_dq_checks(store, staged, BATCH, AS_OF)
+    checks.run_validation(store, staged, BATCH, AS_OF)
+    rules = store.read(checks.VIOLATIONS).select(F.lit("RULE").alias("kind"), c("rule_code").alias("name"), c("record_identifier").alias("record"), c("field_value").alias("value"))
+    gaps = store.read(checks.INTEGRITY).select(c("check_type").alias("kind"), c("key_columns").alias("name"), c("record_identifier").alias("record"), c("key_value").alias("value"))
+    patterns = checks.anomaly_patterns(store).select(
+        F.lit("PATTERN").alias("kind"), c("pattern_name").alias("name"), F.array_join("affected_clients", " ").alias("record"), c("occurrence_count").cast("string").alias("value")
+    )
+    return rules.unionByName(gaps).unionByName(patterns)
+
+
 @query("resolve_issues", "SELECT issue_type, source_client, issue_severity = 'CRITICAL' AS is_resolved, count(*) AS issue_count FROM issues GROUP BY 1, 2, 3")
 def resolve_issues(w):
     done = quality.resolve_issues(w.issues, c("issue_severity") == "CRITICAL", "FIXED", "checked by hand", "steward", AS_OF_2)
