@@ -101,9 +101,9 @@ def join_customer_transactions(dim_customer: DataFrame, fact_transaction: DataFr
 def trace_backward(fact_transaction: DataFrame, raw_documents: DataFrame) -> DataFrame:
     """Transactions with the document they came from, by raw record id and batch."""
     content = next(c for c in raw_documents.columns if c in ("raw_xml_content", "raw_json_content", "raw_text_content"))
-    docs = raw_documents.select("raw_record_id", "source_client", F.col(content).alias("raw_content"))
+    docs = raw_documents.select("raw_record_id", "source_client", "batch_id", F.col(content).alias("raw_content"))
     columns = ["transaction_id", "source_client", "source_file_name", "batch_id", "ingestion_timestamp", "raw_record_id"]
-    return fact_transaction.select(*columns).join(docs, ["raw_record_id", "source_client"])
+    return fact_transaction.select(*columns).join(docs, ["raw_record_id", "source_client", "batch_id"])
 
 
 def trace_forward(fact_transaction: DataFrame, fact_item: DataFrame, source_file_name: str) -> DataFrame:
