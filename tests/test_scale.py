@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import dims, keys, lookups, quality, staging_xml
+from ledgerloom.operators import dims, facts, keys, lookups, quality, staging_xml
 from ledgerloom.operators.facts import FIRST_SEEN
 from ledgerloom.plans import reports
 from ledgerloom.plans.store import TableStore
@@ -67,6 +67,50 @@ def test_surrogate_keys_do_not_depend_on_partitioning(spark, monkeypatch, partit
     assert got == expected
 
 
+def test_bounded_surrogate_keys_are_written_once_without_their_digest(spark, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_FILE", 300)
+    rows = spark.range(1000).select(F.concat(F.lit("K"), F.col("id").cast("string")).alias("k"))
+    numbered = keys.assign_surrogate_keys(rows, "sk", ["k"], 10, at_most=1500)
+    expected = {r["k"]: i + 11 for i, r in enumerate(rows.orderBy(F.md5("k"), "k").collect())}
+    assert {r["k"]: r["sk"] for r in numbered.collect()} == expected
+    files = [Path(f.removeprefix("file://")) for f in numbered.inputFiles()]
+    assert len(files) == 5 and not (files[0].parent.parent / "rows").exists()
+    assert "_digest" not in pq.read_schema(files[0]).names
+
+
+def test_an_empty_fact_needs_no_tasks(spark):
+    rows = spark.range(10).select(F.col("id").cast("string").alias("order_id"))
+    left = lookups.anti_join_existing(rows, facts.empty_fact(spark, facts.FACT_ORDER), ["order_id"])
+    assert "Join" not in plan(left) and left.count() == 10
+
+
+def test_lines_go_through_one_exchange_for_header_and_first_line(spark, tmp_path, monkeypatch):
+    """The first line per key wins, also where a line comes twice and headers are many."""
+    line = {**{n: None for n in staged_item_columns()}, "quantity": 1, "quantity_abs": 1}
+    seen = [("T1", 1, 2, "late"), ("T1", 1, 1, "first"), ("T1", 2, 1, "x"), ("T9", 1, 1, "no header"), ("", 1, 1, "none"), (None, 1, 1, "none")]
+    flags = {n: False for n in line if n.startswith("is_")}
+    items = [{**line, **flags, "transaction_id": t, "line_number": n, "raw_record_id": r, "description": d, "source_file_name": "f", "batch_id": "B"} for t, n, r, d in seen]
+    items_a = spark.createDataFrame([[i[n] for n in staged_item_columns()] for i in items], ", ".join(f"{n} {t}" for n, t in staged_item_columns().items()))
+    items_c = items_a.filter("false").withColumn("item_metadata_json", F.lit(None).cast("string"))
+    headers = spark.createDataFrame([("T1", "ClientA", 7, 20250101)], "transaction_id string, source_client string, transaction_sk bigint, order_date_sk bigint")
+    products = dims.new_dimension(spark, dims.PRODUCT, AS_OF)
+    before = {}
+    monkeypatch.setattr(facts, "assign_surrogate_keys", lambda rows, *a: before.setdefault("rows", rows).withColumn("transaction_item_sk", F.lit(1).cast("bigint")))
+    got = facts.load_fact_transaction_item(items_a, items_c, headers.hint("merge"), products, facts.empty_fact(spark, facts.FACT_ITEM), AS_OF)
+    assert sorted((r["transaction_sk"], r["line_number"], r["description"]) for r in got.collect()) == [(7, 1, "first"), (7, 2, "x")]
+    by_line = [e for e in plan(before["rows"]).splitlines() if "Exchange hashpartitioning" in e and "line_number" in e]
+    assert by_line == [], "no exchange for the first line alone"
+
+
+def staged_item_columns() -> dict[str, str]:
+    texts = ["transaction_id", "sku", "currency", "description", "source_file_name", "batch_id", "attributes_extra", "warranty_extra", "gift_options_extra"]
+    return {
+        **{n: "string" for n in texts}, **{n: "bigint" for n in ("line_number", "quantity", "quantity_abs", "raw_record_id", "transaction_index")},
+        **{n: "decimal(18,4)" for n in ("unit_price", "unit_price_abs", "line_total")}, "ingestion_timestamp": "timestamp",
+        **{n: "boolean" for n in ("is_negative_quantity", "is_negative_unit_price", "is_missing_sku", "is_missing_description")},
+    }
+
+
 def test_surrogate_keys_of_nothing(spark):
     none = spark.createDataFrame([], "k string")
     assert keys.assign_surrogate_keys(none, "sk", ["k"]).count() == 0
