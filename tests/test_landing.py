@@ -1,9 +1,10 @@
 """Building the landing data: work that is done once, with the rows of the statements."""
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.session import materialize
+from ledgerloom.session import configure, materialize
 from workloads import truth
 from workloads.landing import Landing
 
@@ -36,3 +37,26 @@ def test_lines_are_numbered_once_as_the_statement_says(spark, tmp_path):
 def test_tables_at_rest_are_compressed_with_zstd(spark):
     file = materialize(spark.range(10), "codec").inputFiles()[0].removeprefix("file://")
     assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+@pytest.mark.parametrize("setting, dealt", [("2", 200), ("300", 300)])
+def test_exchanges_are_dealt_finely_under_any_setting(spark, setting, dealt):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", setting)
+    try:
+        configure(spark)
+        counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        assert len(counted.collect()) == 7
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        configure(spark)
+    assert f", {dealt})" in plan and "coalesced" in plan
+
+
+def test_documents_are_read_a_few_at_a_time(spark):
+    """A batch of rows is in memory at once; 300 documents are no single batch."""
+    docs = materialize(spark.range(300).select("id", F.repeat(F.lit("x"), 1000).alias("content")).coalesce(1), "documents-few")
+    assert len(docs.collect()) == 300
+    to_rows = docs._jdf.queryExecution().executedPlan().child()
+    assert to_rows.metrics().apply("numInputBatches").value() >= 5
