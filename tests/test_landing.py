@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.session import configure, materialize
+from ledgerloom.sources.documents import parse_txt_xml
 from workloads import truth
 from workloads.landing import Landing
 
@@ -60,3 +61,65 @@ def test_documents_are_read_a_few_at_a_time(spark):
     assert len(docs.collect()) == 300
     to_rows = docs._jdf.queryExecution().executedPlan().child()
     assert to_rows.metrics().apply("numInputBatches").value() >= 5
+
+
+def _emitted_rows(spark, path):
+    """Orders and their lines: copies, keys beyond those of documents of copies, negative ones, orders without lines."""
+    n = F.col("id")
+    keys = [f"SELECT {sign} id + {first} AS o FROM range({count})" for sign, first, count in (("", 0, 3000), ("", 512 * 10**9, 700), ("-", -1, 700))]
+    orders = spark.sql(" UNION ALL ".join(keys)).select(
+        F.col("o").alias("o_orderkey"), (F.col("o") % 70).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), (F.col("o") % 900 + 0.5).alias("o_totalprice"),
+        F.lit("1996-01-02").cast("timestamp").alias("o_orderdate"), F.concat((F.abs("o") % 5 + 1).cast("string"), F.lit("-URGENT")).alias("o_orderpriority"),
+    )
+    lines = orders.filter("o_orderkey % 11 != 0").select(F.col("o_orderkey").alias("l_orderkey"), F.explode(F.sequence(F.lit(1), F.abs("o_orderkey") % 4 + 1)).alias("id")).select(
+        "l_orderkey", (n * 7 % 3).alias("l_partkey"), (n % 2).alias("l_suppkey"), n.cast("int").alias("l_linenumber"), F.when(n % 4 > 0, n.cast("double")).alias("l_quantity"),
+        (n + 0.25).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"), F.lit(0.1).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.lit("1996-01-01").cast("timestamp").alias("l_shipdate"),
+    )
+    orders.write.parquet(f"{path}/orders.parquet")
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    return {"orders": spark.read.parquet(f"{path}/orders.parquet"), "lineitem": spark.read.parquet(f"{path}/lineitem.parquet")}
+
+
+@pytest.mark.parametrize("parity, headers_sql, items_sql, value", [(0, truth.HEADERS_A, truth.ITEM_TEXT, "sku_text"), (1, truth.HEADERS_C, truth.ITEMS_C, "price_alt_raw")])
+def test_headers_and_baskets_are_those_of_the_statements(spark, tmp_path, parity, headers_sql, items_sql, value):
+    tables = _emitted_rows(spark, tmp_path)
+    landing = Landing(spark, str(tmp_path))
+    got = [landing._headers(headers_sql, items_sql, parity, F.col(value), near) for near in (True, False)]
+    got = materialize(got[0].unionByName(got[1]), "headers")
+    expected = materialize(spark.sql(headers_sql, orders=tables["orders"], lineitem=tables["lineitem"]), "expected")
+    plain = got.drop("basket").select(*expected.columns)
+    assert expected.filter("doc >= 1000000000 AND copy = 0").count() > 300 and expected.filter("copy = 1").count() > 15
+    assert plain.exceptAll(expected).isEmpty() and expected.exceptAll(plain).isEmpty()
+    items = spark.sql(items_sql, lineitem=tables["lineitem"]).orderBy("o", "line").collect()
+    baskets = {}
+    for r in items:
+        baskets.setdefault(r["o"], []).append(r[value])
+    assert {(r["o"], tuple(r["basket"] or ())) for r in got.collect()} == {(r["o"], tuple(baskets.get(r["o"], ()))) for r in expected.collect()}
+
+
+def test_document_texts_are_not_shuffled(spark, tmp_path):
+    """Orders and lines are dealt by document; nothing made of them goes through an exchange."""
+    _emitted_rows(spark, tmp_path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for docs in ("documents_a", "documents_c"):
+            landing, plans = Landing(spark, str(tmp_path)), []
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr("workloads.landing.materialize", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or materialize(df, label))
+                assert getattr(landing, docs).count() == getattr(landing, docs).select("doc").distinct().count() >= 8
+            exchanges = [line for line in plans[0].splitlines() if "Exchange" in line]
+            assert len(exchanges) == 4 and all("hashpartitioning(doc" in line and "REPARTITION_BY_COL" in line for line in exchanges), exchanges
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_texts_are_parsed_once_for_their_verdict(spark):
+    texts = spark.range(20).select(F.concat(F.lit("x <Transaction><A>"), "id", F.when(F.col("id") % 5 > 0, "</A></Transaction>").otherwise("")).alias("raw_text_content"), F.lit(None).cast("timestamp").alias("ingestion_timestamp"))
+    good = parse_txt_xml(texts).filter("xml_parse_success").select("raw_xml_content")
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1 and plan.count("regexp_replace") == 3
+    assert good.count() == 16 and parse_txt_xml(texts).filter("raw_xml_content IS NULL AND xml_parse_error IS NOT NULL").count() == 4
+    missing = parse_txt_xml(texts.limit(1).withColumn("raw_text_content", F.lit(None).cast("string"))).collect()
+    assert len(missing) == 1 and missing[0]["raw_xml_content"] is None
