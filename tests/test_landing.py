@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import configure, materialize
 from ledgerloom.sources.documents import parse_txt_xml
-from workloads import truth
+from workloads import landing, truth
 from workloads.landing import Landing
 
 
@@ -123,3 +123,17 @@ def test_texts_are_parsed_once_for_their_verdict(spark):
     assert good.count() == 16 and parse_txt_xml(texts).filter("raw_xml_content IS NULL AND xml_parse_error IS NOT NULL").count() == 4
     missing = parse_txt_xml(texts.limit(1).withColumn("raw_text_content", F.lit(None).cast("string"))).collect()
     assert len(missing) == 1 and missing[0]["raw_xml_content"] is None
+
+
+def test_raw_csv_rows_are_written_without_an_exchange(spark, tmp_path, monkeypatch):
+    n = F.col("id")
+    spark.range(1, 3001).coalesce(1).select(
+        n.alias("o_orderkey"), (n % 40).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), (n % 90 + 0.5).alias("o_totalprice"),
+        F.lit("1996-01-01").cast("timestamp").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    written = []
+    monkeypatch.setattr(landing, "materialize", lambda df, *a: (written.append(df), materialize(df, *a))[1])
+    monkeypatch.setattr(landing, "RAW_ROWS_PER_FILE", 1000)
+    made = Landing(spark, str(tmp_path))
+    assert made.orders.count() == made.rows(truth.ORDERS).count() and len(made.orders.inputFiles()) >= 3
+    assert "Exchange" not in written[0]._jdf.queryExecution().executedPlan().toString()
