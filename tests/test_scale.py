@@ -1,5 +1,6 @@
 """Properties that must hold for any size and skew of the data."""
 
+from decimal import Decimal
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -102,6 +103,24 @@ def test_lines_go_through_one_exchange_for_header_and_first_line(spark, tmp_path
     assert by_line == [], "no exchange for the first line alone"
 
 
+def test_what_follows_from_other_columns_is_not_shuffled_with_keys(spark, monkeypatch):
+    columns = staged_item_columns()
+    line = {**{n: False if n.startswith("is_") else None for n in columns}, "transaction_id": "T1", "line_number": 1, "quantity": -2, "quantity_abs": 2,
+            "unit_price": Decimal("1.5"), "unit_price_abs": Decimal("1.5"), "raw_record_id": 1, "is_negative_quantity": True}
+    items_a = spark.createDataFrame([[line[n] for n in columns]], ", ".join(f"{n} {t}" for n, t in columns.items()))
+    items_c = items_a.filter("false").withColumn("item_metadata_json", F.lit(None).cast("string"))
+    headers = spark.createDataFrame([("T1", "ClientA", 7, 20250101)], "transaction_id string, source_client string, transaction_sk bigint, order_date_sk bigint")
+    shuffled = []
+    monkeypatch.setattr(facts, "assign_surrogate_keys", lambda rows, sk, *a: (shuffled.extend(rows.columns), keys.assign_surrogate_keys(rows, sk, *a))[1])
+    got = facts.load_fact_transaction_item(
+        items_a, items_c, headers, dims.new_dimension(spark, dims.PRODUCT, AS_OF), facts.empty_fact(spark, facts.FACT_ITEM), AS_OF
+    )
+    assert got.columns == facts.FACT_ITEM
+    row = got.first()
+    assert (row["line_total_abs"], row["dq_status"], row["has_negative_quantity"], row["has_negative_price"]) == (Decimal("3"), "INVALID" if row["is_missing_sku"] else "WARNING", True, False)
+    assert not {"line_total_abs", "dq_status", "has_negative_quantity", "has_negative_price", "created_at"} & set(shuffled)
+
+
 def staged_item_columns() -> dict[str, str]:
     texts = ["transaction_id", "sku", "currency", "description", "source_file_name", "batch_id", "attributes_extra", "warranty_extra", "gift_options_extra"]
     return {
@@ -183,6 +202,25 @@ def test_quarantine_holds_all_but_one_copy(spark):
     assert quality.quarantine_rejects(rows, BATCH, AS_OF).count() == 999
 
 
+def test_payloads_of_first_rows_are_not_shuffled(spark, tmp_path):
+    """Copies are found by position; a row without a position is a reject of its own."""
+    n = F.col("id")
+    spark.range(30000).select(
+        F.lit("ClientA").alias("source_client"), F.lit("XML").alias("source_format"), F.when(n != 9, n).alias("raw_record_id"),
+        F.lit(0).alias("transaction_index"), F.concat(F.lit("f"), n).alias("source_file_name"), F.lit(AS_OF).cast("timestamp").alias("ingestion_timestamp"),
+        F.when(n.isin(5, 6, 7), "HOT").otherwise(n.cast("string")).alias("transaction_id"), F.lit("o").alias("order_id"),
+        F.lit("c").alias("customer_id"), F.sha2(n.cast("string"), 256).alias("raw_payload"), F.lit(False).alias("is_missing_transaction_id"),
+    ).write.parquet(f"{tmp_path}/unified")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        rejects = quality.quarantine_rejects(spark.read.parquet(f"{tmp_path}/unified"), BATCH, AS_OF)
+        assert "SortMergeJoin" not in plan(rejects)
+        assert sorted(r["source_file_name"] for r in rejects.collect()) == ["f6", "f7", "f9"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "items")
     spark.range(100).select(
