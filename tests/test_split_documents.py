@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,3 +131,20 @@ def test_a_document_that_never_ends(spark, tmp_path, monkeypatch, split_bytes):
     rows, docs = documents.split_xml_documents(spark, str(tmp_path), "B", AS_OF)
     assert {(r.source_file_name, r.well_formed) for r in docs.collect()} == {("ClientA_a.xml", False), ("ClientA_b.xml", True)}
     assert sorted(r.transaction_index for r in rows.collect()) == list(range(50))
+
+
+def test_rows_per_piece_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Tables with a row per piece or run are small at rest and large in memory, whatever their size here."""
+    plans = {}
+
+    def planned(df, label, *args):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, label, *args)
+
+    materialize = nested_records.materialize
+    monkeypatch.setattr(nested_records, "materialize", planned)
+    (tmp_path / "c.json").write_text(json.dumps([{"a": {"b": i}} for i in range(20)]))
+    rows, _ = documents.split_json_documents(spark, str(tmp_path), "B", "2025-01-01")
+    assert rows.count() == 20
+    for label, key in (("runs", "_run"), ("joined-pieces", "_line")):
+        assert not re.search(rf"BroadcastHashJoin \[[^\]]*{key}", plans[label])
