@@ -115,6 +115,16 @@ def test_document_texts_are_not_shuffled(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_text_files_are_made_without_the_other_documents(spark, tmp_path):
+    _emitted_rows(spark, tmp_path)
+    made = Landing(spark, str(tmp_path))
+    written = spark.read.text(made.txt_files(), wholetext=True)
+    assert "documents_a" not in made.__dict__
+    expected = made.documents_a.filter("is_txt = 1").select(F.concat("content", F.lit("\n")))
+    assert 0 < written.count() < made.documents_a.count()
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_texts_are_parsed_once_for_their_verdict(spark):
     texts = spark.range(20).select(F.concat(F.lit("x <Transaction><A>"), "id", F.when(F.col("id") % 5 > 0, "</A></Transaction>").otherwise("")).alias("raw_text_content"), F.lit(None).cast("timestamp").alias("ingestion_timestamp"))
     good = parse_txt_xml(texts).filter("xml_parse_success").select("raw_xml_content")
